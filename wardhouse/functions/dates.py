@@ -21,6 +21,7 @@ AGE_LABELS = ("0-17", "18-35", "36-55", "56+")
 AGE_UNKNOWN = "Không xác định"
 
 _DIGIT = "9"
+_PARTS = ("yyyy", "MM", "dd")
 
 
 def _digit_shape(c: Column) -> Column:
@@ -40,16 +41,18 @@ def parse_date(
     """
     c = as_column(c)
     shape = _digit_shape(c)
-    iso, others = None, []
+    layouts, others = {}, []
     for fmt in formats:
-        if not all(fmt.count(part) == 1 for part in ("yyyy", "MM", "dd")) or re.search(r"[^yMd/.\- ]", fmt):
+        if all(fmt.count(part) == 1 for part in _PARTS) and not re.search(r"[^yMd/.\- ]", fmt):
+            places = tuple(fmt.index(part) + 1 for part in _PARTS)
+            layouts.setdefault(places, []).append(re.sub("[yMd]", _DIGIT, fmt))
+        else:
             others.append(F.try_to_date(c, fmt))
-            continue
-        pieces = [F.substring(c, fmt.index(part) + 1, len(part)) for part in ("yyyy", "MM", "dd")]
-        text = F.concat_ws("-", *pieces)
-        fits = shape == re.sub("[yMd]", _DIGIT, fmt)
-        iso = F.when(fits, text) if iso is None else iso.when(fits, text)
-    parsed = [] if iso is None else [iso.try_cast("date")]
+    iso = F
+    for places, shapes in layouts.items():
+        pieces = [F.substring(c, at, len(part)) for at, part in zip(places, _PARTS)]
+        iso = iso.when(shape.isin(*shapes), F.concat_ws("-", *pieces))
+    parsed = [iso.try_cast("date")] if layouts else []
     late = [as_column(f).try_cast("timestamp").cast("date") for f in fallbacks]
     return F.coalesce(*parsed, *others, *late)
 
@@ -63,8 +66,9 @@ def _exact_timestamp(c: Column) -> Column:
 def elapsed_minutes(start: Column | str, end: Column | str) -> Column:
     """Whole minutes from start to end, not below 0; 0 when either time is unusable."""
     seconds = F.unix_seconds(_exact_timestamp(as_column(end))) - F.unix_seconds(_exact_timestamp(as_column(start)))
-    minutes = F.least(seconds / 60, F.lit(float(2**31 - 1)))
-    return F.coalesce(F.greatest(minutes, F.lit(0.0)), F.lit(0.0)).cast("int")
+    # Dates far apart must not overflow INT; `least` would skip a NULL, so the default comes first.
+    minutes = F.least(F.coalesce(seconds, F.lit(0)) / 60, F.lit(float(2**31 - 1)))
+    return F.greatest(minutes, F.lit(0.0)).cast("int")
 
 
 def current_day(as_of: dt.date | str | None = None) -> Column:

@@ -24,12 +24,18 @@ class Rule:
 
 
 def present(reason: str, column: str) -> Rule:
-    return Rule(reason, ~is_blank(column))
+    """For a cleaned (trimmed) code: neither NULL nor empty."""
+    return Rule(reason, F.col(column) != "")
 
 
 def verdict(rules: Sequence[Rule]) -> Column:
-    """The reason of the first failing rule, NULL for a valid row."""
-    return F.coalesce(*[F.when(~F.coalesce(r.ok, F.lit(False)), F.lit(r.reason)) for r in rules])
+    """The reason of the first failing rule, NULL for a valid row.
+
+    The partition id (never negative) keeps Spark from moving a later filter on the verdict below the cleansing.
+    It would compute every cleansing expression a second time there, in methods too long for the JIT compiler.
+    """
+    reason = F.coalesce(*[F.when(~F.coalesce(r.ok, F.lit(False)), F.lit(r.reason)) for r in rules])
+    return F.when(F.spark_partition_id() >= 0, reason)
 
 
 def with_verdict(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -188,8 +188,8 @@ def line_rules(code: str, code_reason: str, date: str, date_reason: str, item: s
         present("missing_visit_code", "VisitCode"),
         Rule(date_reason, F.col(date).isNotNull()),
         present(item_reason, item),
-        Rule("invalid_quantity", F.col("QuantityClean") > 0),
-        Rule("invalid_unit_price", F.col("UnitPriceClean") > 0),
+        Rule("invalid_quantity", F.col("Quantity") > 0),
+        Rule("invalid_unit_price", F.col("UnitPrice") > 0),
         done,
     ]
 
@@ -213,9 +213,9 @@ def prescription_rules() -> list[Rule]:
 
 
 def recover_qty_price(df: DataFrame, qty: str, price: str, total: str) -> DataFrame:
-    """Adds `QuantityClean` and `UnitPriceClean`; the price uses the recovered quantity."""
-    return df.withColumn("QuantityClean", recover_quantity(qty, price, total)).withColumn(
-        "UnitPriceClean", recover_price("QuantityClean", price, total)
+    """Adds `Quantity` and `UnitPrice`; the price uses the recovered quantity."""
+    return df.withColumn("Quantity", recover_quantity(qty, price, total)).withColumn(
+        "UnitPrice", recover_price("Quantity", price, total)
     )
 
 
@@ -241,9 +241,7 @@ def _parsed_lines(source: DataFrame, *ids: str, **named: Column) -> DataFrame:
 def _judged_lines(lines: DataFrame, rules: Sequence[Rule], amount: str) -> DataFrame:
     return lines.select(
         "*",
-        F.col("QuantityClean").alias("Quantity"),
-        F.col("UnitPriceClean").alias("UnitPrice"),
-        line_amount("QuantityClean", "UnitPriceClean").alias(amount),
+        line_amount("Quantity", "UnitPrice").alias(amount),
         verdict(rules).alias(REASON),
     )
 

@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM does not compile methods above 8,000 bytes: longer stages then run operator by operator instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Lets a write that splits by verdict keep both files open instead of sorting every task's rows.
     "spark.sql.maxConcurrentOutputFileWriters": "4",
     "spark.sql.session.timeZone": "UTC",
@@ -29,6 +31,13 @@ def get_session(app_name: str = "wardhouse", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """The same settings on a session that somebody else made."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named by `spark.checkpoint.dir`.
 
