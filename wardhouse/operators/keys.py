@@ -34,6 +34,7 @@ def assign_keys(
     key_col: str,
     existing: DataFrame | None = None,
     dense: bool = True,
+    codes: DataFrame | None = None,
 ) -> DataFrame:
     """Adds `key_col` in front. Codes must be unique and not NULL.
 
@@ -44,8 +45,10 @@ def assign_keys(
     - not dense: bucket number and place in the bucket, like the built-in increasing id but with a bucket
       that depends on the code alone. Needs no counts, so the input is read once. Made for facts.
 
-    With `existing` (a frame with both columns) known codes keep their key and new codes get unused ones.
+    With `existing` (a frame with both columns, made in the same way) known codes keep their key and new codes get
+    unused ones. `codes` is the set of codes in `df` where it can be had at less cost; it is what gets counted.
     """
+    codes = df if codes is None else codes
     bucket = bucket_of(code_col)
     plain = [F.col(c) for c in df.columns]
     place = F.row_number().over(Window.partitionBy("_bucket").orderBy(code_col))
@@ -53,7 +56,7 @@ def assign_keys(
         rows = df.select("*", bucket.alias("_bucket"))
         if not dense:
             return rows.select(_sparse_key(place).alias(key_col), *plain)
-        counts = df.select(bucket.alias("_bucket")).groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+        counts = codes.select(bucket.alias("_bucket")).groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
         offsets = _running_offsets(counts)
         return (
             rows.select("*", place.alias("_place"))
@@ -66,7 +69,7 @@ def assign_keys(
     place = F.row_number().over(Window.partitionBy("_bucket", F.col("_known").isNull()).orderBy(code_col))
     rows = rows.select("*", place.alias("_place"))
     if dense:
-        new = df.join(known, code_col, "left_anti")
+        new = codes.join(known, code_col, "left_anti")
         counts = new.select(bucket.alias("_bucket")).groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
         # The keys in use come first in the running sum, under a name that sorts before every bucket.
         used = known.agg(F.lit("").alias("_bucket"), F.coalesce(F.max("_known"), F.lit(0)).alias("_n"))

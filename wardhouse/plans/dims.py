@@ -43,7 +43,7 @@ def build_dim(
 ) -> DataFrame:
     """One row per code with its latest attributes and a dense surrogate key."""
     latest = latest_by(stg, [code], order_cols).select(code, *attrs)
-    return assign_keys(latest, code, key, existing)
+    return assign_keys(latest, code, key, existing, codes=stg.select(code).distinct())
 
 
 def build_dimension(name: str, stg: DataFrame, existing: DataFrame | None = None, text_order: bool = False) -> DataFrame:
