@@ -103,7 +103,8 @@ ITEMS = """
 SELECT p_partkey AS item_id,
   concat('dv', CAST(p_partkey AS STRING)) AS item_code,
   p_name AS item_name_raw,
-  CASE p_size % 4 WHEN 0 THEN 'Lab' WHEN 1 THEN 'kham' WHEN 2 THEN 'thu thuat' ELSE p_type END AS item_type_raw,
+  CASE p_size % 6 WHEN 0 THEN 'Lab' WHEN 1 THEN 'kham' WHEN 2 THEN 'thu thuat' WHEN 3 THEN ' Antibiotic'
+       WHEN 4 THEN 'da day' ELSE p_type END AS item_type_raw,
   CASE p_size % 3 WHEN 0 THEN 'tablet' WHEN 1 THEN 'hop' ELSE 'lo' END AS unit_raw,
   concat(CAST(CAST(floor(p_retailprice) AS INT) AS STRING), ' VND') AS standard_price,
   '2024-01-05 00:00:00' AS updated_at

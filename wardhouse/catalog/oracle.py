@@ -72,6 +72,7 @@ SPECIALTY = {"Tim mạch": ("cardiology",), "Xét nghiệm": ("lab",)}
 TITLE = {"BS": ("bac si",), "ThS": ("ths",), "TS": ("ts",)}
 GROUP = {"Cận lâm sàng": ("cls",), "Khám bệnh": ("kham benh",)}
 TYPE = {"Xét nghiệm": ("lab",), "Khám": ("kham",), "Thủ thuật": ("thu thuat",)}
+MEDICINE = {"Kháng sinh": ("antibiotic",), "Tiêu hóa": ("da day",)}
 UNIT = {"Viên": ("tablet",), "Hộp": ("hop",)}
 NEWEST = "ORDER BY CAST(updated_at AS TIMESTAMP) DESC, CAST({id} AS BIGINT) DESC"
 
@@ -171,7 +172,7 @@ DATE_COLUMNS = """CAST(strftime(d, '%Y%m%d') AS INTEGER) AS "DateKey", d AS "Ful
 
 def items(kind: str) -> str:
     return f"""SELECT item_id, {code('item_code')} AS c, {words('item_name_raw')} AS "{kind}Name",
-      {case('item_type_raw', TYPE, words('item_type_raw'))} AS "{'ServiceType' if kind == 'Service' else 'MedicineGroup'}",
+      {case('item_type_raw', TYPE if kind == 'Service' else MEDICINE, words('item_type_raw'))} AS "{'ServiceType' if kind == 'Service' else 'MedicineGroup'}",
       {case('unit_raw', UNIT, words('unit_raw'))} AS "Unit", updated_at FROM dirty_items"""
 
 
