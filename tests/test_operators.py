@@ -1,4 +1,5 @@
 import io
+import re
 from contextlib import redirect_stdout
 from decimal import Decimal
 
@@ -88,8 +89,8 @@ def test_hot_keys_are_salted_and_results_equal_a_plain_join(spark):
                                        .otherwise(F.col("id").cast("string")).alias("k"))
     parent = spark.range(20_000).select(F.col("id").cast("string").alias("k"), (F.col("id") * 2).alias("p")).union(
         spark.createDataFrame([("hot", -1)], "k string, p long"))
-    assert [r.k for r in skew.hot_keys(child, "k", min_rows=1000).collect()] == ["hot"]
-    salted = skew.skew_safe_left_join(child, parent, "k", min_rows=1000, salts=8)
+    assert [tuple(r) for r in skew.hot_keys(child, "k", part_rows=1000).collect()] == [("hot", 10)]
+    salted = skew.skew_safe_left_join(child, parent, "k", part_rows=1000)
     assert rows(salted.select("k", "id", "p")) == rows(child.join(parent, "k", "left").select("k", "id", "p"))
 
 
@@ -99,7 +100,7 @@ def test_salting_spreads_copies_of_one_row(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = skew.skew_safe_left_join(child, parent, "k", min_rows=1000, salts=64)
+        joined = skew.skew_safe_left_join(child, parent, "k", part_rows=100)
         per_task = joined.groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
@@ -108,6 +109,17 @@ def test_salting_spreads_copies_of_one_row(spark):
     assert max(r["count"] for r in per_task) <= 8_000
 
 
+def test_cleansing_stays_below_the_limit_of_the_jit_compiler(spark, tmp_path):
+    for table, stage in (("visits", staging.stage_visits), ("service_transactions", staging.stage_service_transactions), ("patients", staging.stage_patients)):
+        path = f"{tmp_path}/{table}"
+        spark.range(3).select(*[F.col("id").cast("string").alias(c) for c in SOURCE_COLUMNS[table]]).write.parquet(path)
+        out = io.StringIO()
+        with redirect_stdout(out):
+            stage(spark.read.parquet(path)).explain("codegen")
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue())]
+        assert sizes and max(sizes) < 8_000, table
+
+
 # Latest rows and keys
 
 

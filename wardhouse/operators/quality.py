@@ -34,7 +34,7 @@ def verdict(rules: Sequence[Rule]) -> Column:
     The partition id (never negative) keeps Spark from moving a later filter on the verdict below the cleansing.
     It would compute every cleansing expression a second time there, in methods too long for the JIT compiler.
     """
-    reason = F.coalesce(*[F.when(~F.coalesce(r.ok, F.lit(False)), F.lit(r.reason)) for r in rules])
+    reason = F.coalesce(*[F.when(r.ok, F.lit(None)).otherwise(F.lit(r.reason)) for r in rules])
     return F.when(F.spark_partition_id() >= 0, reason)
 
 
