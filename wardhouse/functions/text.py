@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
@@ -41,8 +42,9 @@ def standardize(
     The labels become one literal map, so the plan stays small however many variants there are.
     """
     c = as_column(c)
-    pairs = [(variant, label) for label, variants in labels.items() for variant in variants]
-    lookup = F.create_map(*[F.lit(part) for pair in pairs for part in pair])
+    pairs = {variant: label for label, variants in labels.items() for variant in variants}
+    # JSON carries the map in one constant, which Spark turns into a literal map while planning.
+    lookup = F.from_json(F.lit(json.dumps(pairs)), "map<string,string>")
     if default is None:
         default = clean_name(c)
     elif isinstance(default, str):

@@ -6,7 +6,6 @@ import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def normalize_name(name: str) -> str:
@@ -31,10 +30,13 @@ def canonicalize(
     for canonical, aliases in alias_map.items():
         names = [normalize_name(n) for n in (canonical, *aliases)]
         source = next((by_name[n] for n in names if n in by_name), None)
-        column = F.lit(None) if source is None else F.col(f"`{source}`")
-        if cast or source is None:
-            column = column.cast(cast or "string")
-        wanted.append(column.alias(canonical))
+        value = "NULL" if source is None else _quoted(source)
+        target = cast if cast or source else "string"
+        wanted.append(f"{f'CAST({value} AS {target})' if target else value} AS {_quoted(canonical)}")
     replaced = {c.lower() for c in alias_map}
-    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in replaced] if keep_raw else []
-    return df.select(*kept, *wanted)
+    kept = [_quoted(c) for c in df.columns if c.lower() not in replaced] if keep_raw else []
+    return df.selectExpr(*kept, *wanted)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

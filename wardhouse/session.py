@@ -19,12 +19,17 @@ SETTINGS = {
 }
 
 
+# Only a new session can take these. Call sites in error messages cost several calls into the JVM per expression,
+# which adds up in plans of many columns.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+
 def get_session(app_name: str = "wardhouse", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings this package expects; `conf` keys use `__` for dots."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **START_SETTINGS}.items():
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
