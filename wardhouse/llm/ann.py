@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from wardhouse.llm.common import cut
 
 # Distinct vectors of a shard, and queries of a block: what one task holds.
-SHARD_ROWS, QUERY_ROWS = 16_384, 50_000
+SHARD_ROWS, QUERY_ROWS = 8_192, 50_000
 DEGREE, BUILD_BEAM, BEAM, RELAX, BLOCK = 24, 48, 96, 1.2, 256
 COPIES_PARTS = 16
 
@@ -62,7 +62,10 @@ def _prune(points: np.ndarray, centers: np.ndarray, candidates: np.ndarray, degr
     """For each center the diverse few of its candidates (-1 pads), nearest first."""
     n, rows = len(centers), np.arange(len(centers))
     vectors = points[candidates]
-    d = ((vectors - points[centers][:, None]) ** 2).sum(axis=2)
+    norms = np.einsum("ikj,ikj->ik", vectors, vectors)
+    products = vectors @ vectors.transpose(0, 2, 1)
+    own = points[centers]
+    d = norms + np.einsum("ij,ij->i", own, own)[:, None] - 2 * (vectors @ own[:, :, None])[:, :, 0]
     d[(candidates < 0) | (candidates == centers[:, None])] = np.inf
     kept = np.full((n, degree), -1)
     for k in range(degree):
@@ -71,41 +74,48 @@ def _prune(points: np.ndarray, centers: np.ndarray, candidates: np.ndarray, degr
         if not ok.any():
             break
         kept[ok, k] = candidates[rows, best][ok]
-        between = ((vectors - vectors[rows, best][:, None]) ** 2).sum(axis=2)
+        between = norms + norms[rows, best][:, None] - 2 * products[rows, best]
         d[(relax**2 * between <= d) & ok[:, None]] = np.inf
         d[rows, best] = np.inf
     return kept
 
 
 def build(points: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, relax: float = RELAX) -> tuple[np.ndarray, int]:
-    """(neighbours by point, start point) of distinct points. Two passes, the first without relaxation."""
+    """(neighbours by point, start point) of distinct points. A point chooses `degree` neighbours; edges back may double
+    them before it is pruned again."""
+    points = points.astype(np.float32)
     n = len(points)
     start = int(((points - points.mean(axis=0)) ** 2).sum(axis=1).argmin())
-    graph = np.full((n, degree), -1)
+    graph = np.full((n, 2 * degree), -1)
     order = np.random.default_rng(5).permutation(n)
     # The start knows some points from the first, so that the blocks that follow have somewhere to go.
-    graph[start, : min(degree, n - 1)] = [p for p in order[: degree + 1] if p != start][:degree]
-    for factor in (1.0, relax):
-        at = 0
-        while at < n:
-            # Blocks grow with the graph, so that a block's points find neighbours that are linked already.
-            size = min(BLOCK, max(16, at)) if factor == 1.0 else BLOCK
-            block = order[at : at + size]
-            at += size
-            found, _ = _search(points, graph, start, points[block], beam)
-            candidates = np.concatenate([found, graph[block]], axis=1)
-            graph[block] = _prune(points, block, _unique(candidates), degree, factor)
-            heads, tails = np.repeat(block, degree), graph[block].ravel()
-            heads, tails = heads[tails >= 0], tails[tails >= 0]
-            by_tail = np.argsort(tails, kind="stable")
-            heads, tails = heads[by_tail], tails[by_tail]
-            unique, first, count = np.unique(tails, return_index=True, return_counts=True)
-            extra = np.full((len(unique), count.max(initial=0)), -1)
-            extra[np.repeat(np.arange(len(unique)), count), np.arange(len(tails)) - np.repeat(first, count)] = heads
-            for k in range(0, len(unique), BLOCK):
-                part = slice(k, k + BLOCK)
-                merged = _unique(np.concatenate([graph[unique[part]], extra[part]], axis=1))
-                graph[unique[part]] = _prune(points, unique[part], merged, degree, factor)
+    first = order[order != start][:degree]
+    graph[start, : len(first)] = first
+    at = 0
+    while at < n:
+        # Blocks grow with the graph, so that a block's points find neighbours that are linked already.
+        block = order[at : at + min(BLOCK, max(16, at))]
+        at += len(block)
+        found, _ = _search(points, graph, start, points[block], beam)
+        chosen = _prune(points, block, _unique(np.concatenate([found, graph[block]], axis=1)), degree, relax)
+        graph[block] = -1
+        graph[block, :degree] = chosen
+        heads, tails = np.repeat(block, degree), chosen.ravel()
+        heads, tails = heads[tails >= 0], tails[tails >= 0]
+        by_tail = np.argsort(tails, kind="stable")
+        heads, tails = heads[by_tail], tails[by_tail]
+        unique, place, count = np.unique(tails, return_index=True, return_counts=True)
+        extra = np.full((len(unique), count.max(initial=0)), -1)
+        extra[np.repeat(np.arange(len(unique)), count), np.arange(len(tails)) - np.repeat(place, count)] = heads
+        # Largest first, so that the gaps (-1) are last.
+        merged = -np.sort(-_unique(np.concatenate([graph[unique], extra], axis=1)), axis=1)
+        fits = (merged >= 0).sum(axis=1) <= 2 * degree
+        graph[unique[fits], : min(2 * degree, merged.shape[1])] = merged[fits, : 2 * degree]
+        over = np.flatnonzero(~fits)
+        for k in range(0, len(over), BLOCK):
+            part = over[k : k + BLOCK]
+            graph[unique[part]] = -1
+            graph[unique[part], :degree] = _prune(points, unique[part], merged[part], degree, relax)
     return graph, start
 
 
@@ -162,18 +172,18 @@ def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col:
     queries = queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(max(1, -(-queries.count() // QUERY_ROWS)))))
     shards = nodes.select("shard").distinct()
     asked = cut(queries.withColumn("size", F.size("vector")).join(shards, F.col("size") == F.col("shard.size")).drop("size"))
-    held = nodes.join(asked.select("shard", "block").distinct(), "shard")
+    held = nodes.join(asked.select("shard", F.col("block").alias("turn")).distinct(), "shard")
 
     def run(shard: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         if not len(shard) or not len(block):
             return pd.DataFrame({"query_id": [], "point": [], "score": []})
         shard = shard.sort_values("node")
         points, graph = np.array(shard["vector"].tolist()), np.array(shard["neighbours"].tolist())
-        out = []
+        rough, out = points.astype(np.float32), []
         for at in range(0, len(block), BLOCK):
             part = block.iloc[at : at + BLOCK]
             vectors = np.array(part["vector"].tolist())
-            found, _ = _search(points, graph, int(shard["start"].iloc[0]), vectors, BEAM)
+            found, _ = _search(rough, graph, int(shard["start"].iloc[0]), vectors.astype(np.float32), BEAM)
             row, col = np.nonzero(found >= 0)
             hit = found[row, col]
             score = np.sqrt(((points[hit] - vectors[row]) ** 2).sum(axis=1))
@@ -188,7 +198,7 @@ def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col:
         return pd.concat(out)
 
     schema = f"query_id {df.schema[id_col].dataType.simpleString()}, point long, score double"
-    near = held.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(run, schema)
+    near = held.groupBy("shard", "turn").cogroup(asked.groupBy("shard", "block")).applyInPandas(run, schema)
     found = near.join(distinct.select("point", F.explode("ids").alias(id_col)), "point").where(F.col(id_col) != F.col("query_id"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", id_col))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", id_col, "score")

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardhouse.llm import ann, bpe, exact_dedup, langid, licenses, packing, simhash, toxicity
+from wardhouse.llm import ann, bpe, exact_dedup, html, langid, lm, licenses, packing, simhash, toxicity
 from wardhouse.llm.common import fold, read
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(read(spark, sf_dir, "pages"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
@@ -21,6 +25,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(read(spark, sf_dir, "documents"))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return lm.score(docs, held_out=fold(docs["doc_id"], 5) == 1)
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents"))
 
