@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -16,6 +17,9 @@ SETTINGS = {
     "spark.sql.maxConcurrentOutputFileWriters": "4",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Python workers hold one batch at a time, of whole texts too.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 
@@ -33,11 +37,18 @@ def get_session(app_name: str = "wardhouse", master: str | None = None, **conf:
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    return configure(builder.getOrCreate())
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """The same settings on a session that somebody else made."""
+    """The same settings on a session that somebody else made.
+
+    Local Python workers also get this package's folder; on a cluster ship it with `--py-files`.
+    """
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([home, *filter(None, paths)])
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
