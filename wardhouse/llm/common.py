@@ -46,7 +46,7 @@ def cut(df: DataFrame) -> DataFrame:
     are lost, and values made from row order are fixed."""
     spark = df.sparkSession
     folder = f"{scratch_dir(spark)}/llm/{uuid.uuid4().hex}"
-    df.write.parquet(folder)
+    df.write.parquet(folder, compression="zstd")
     return spark.read.schema(df.schema).parquet(folder)
 
 
