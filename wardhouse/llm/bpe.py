@@ -22,7 +22,7 @@ from wardhouse.llm.common import arrow_map, text_bytes
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
-CACHE_PIECES = 400_000
+CACHE_PIECES = 900_000
 # Leaves of all trees that are worked on at once.
 BATCH_LEAVES = 1 << 19
 NONE = np.int64(1) << 62
@@ -122,6 +122,8 @@ class ByteBPE:
         self.pattern = regex.compile(pattern)
         self.first = np.array([ranks[bytes([b])] for b in range(256)])
         self.token = {i: t for t, i in ranks.items()}
+        self.number = list(range(max(self.token) + 1))
+        self.decimal = list(map(str, self.number))
         self.merges = Merges(
             (ranks[t[:k]], ranks[t[k:]], i, i)
             for t, i in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks
@@ -146,7 +148,8 @@ class ByteBPE:
             pieces = [self.pattern.findall(c) for c in new]
             distinct = list(set().union(*pieces))
             symbols = self.merges.encode([self.first[np.frombuffer(p.encode(), np.uint8)] for p in distinct])
-            known = dict(zip(distinct, (tuple(ids.tolist()) for ids in symbols)))
+            # One number object per id, however many words hold it.
+            known = dict(zip(distinct, (tuple(map(self.number.__getitem__, ids.tolist())) for ids in symbols)))
             self.cache.update((chunk, sum(map(known.__getitem__, ps), ())) for chunk, ps in zip(new, pieces))
         out = []
         for chunks in parts:
@@ -171,7 +174,7 @@ def encode_documents(
 
     Null and empty texts have no ids. Ids of rows may be null or repeated; other columns are ignored.
     """
-    return _encoded(df, id_col, text_col, ranks, pattern, lambda ids, decoded: {"ids": ids, "decoded": decoded}, "ids array<int>, decoded binary")
+    return _encoded(df, id_col, text_col, ranks, pattern, lambda ids, decoded, _: {"ids": ids, "decoded": decoded}, "ids array<int>, decoded binary")
 
 
 def encode_digests(
@@ -179,10 +182,10 @@ def encode_digests(
 ) -> DataFrame:
     """As `encode_documents`, with the ids and the decoded bytes as digests: n_tokens, ids_sha256, decoded_sha256."""
 
-    def digests(ids, decoded) -> dict:
+    def digests(ids, decoded, decimal) -> dict:
         return {
             "n_tokens": [len(i) for i in ids],
-            "ids_sha256": [hashlib.sha256(",".join(map(str, i)).encode()).hexdigest() for i in ids],
+            "ids_sha256": [hashlib.sha256(",".join(map(decimal, i)).encode()).hexdigest() for i in ids],
             "decoded_sha256": [hashlib.sha256(d).hexdigest() for d in decoded],
         }
 
@@ -197,9 +200,9 @@ def _encoded(df, id_col, text_col, ranks, pattern, columns, schema) -> DataFrame
         def step(batch: pa.RecordBatch) -> dict:
             texts = [t.decode("utf-8", "replace") for t in batch.column("text").to_pylist()]
             out: dict = {}
-            for at in range(0, len(texts), 256):
-                ids = bpe.encode(texts[at : at + 256])
-                for name, values in columns(ids, [bpe.decode(i) for i in ids]).items():
+            for at in range(0, len(texts), 512):
+                ids = bpe.encode(texts[at : at + 512])
+                for name, values in columns(ids, [bpe.decode(i) for i in ids], bpe.decimal.__getitem__).items():
                     out.setdefault(name, []).extend(values)
             return {"id": batch.column("id")} | out
 
