@@ -46,10 +46,17 @@ def test_date_shapes(any_mode):
     day = dt.date(1943, 12, 9)
     texts = ["1943-12-09", "09/12/1943", "19431209", "1943/12/09", "09-12-1943", "1943.12.09"]
     assert apply(any_mode, W.parse_date, *texts) == [day] * 6
-    bad = ["2026-02-30", "30/02/2026", "5/5/2026", "1943-12/09", "09.12.1943", "2026-05-05 11:15:00", "x", "", None]
+    bad = ["2026-02-30", "30/02/2026", "5/5/26", "1943-12/09", "09.12.1943", "2026-05-055", "202605051", "2026", "2026-05", "x", "", None]
     assert apply(any_mode, W.parse_date, *bad) == [None] * len(bad)
 
 
+def test_dates_with_one_digit_or_a_time_of_day(any_mode):
+    texts = ["5/5/2026", "2026-5-05", " 2026.5.5", "2026-05-05 11:15:00", "20260505T11:15", "05-05-2026 x", "5-05-2026"]
+    assert apply(any_mode, W.parse_date, *texts) == [dt.date(2026, 5, 5)] * 7
+    strict = lambda c: W.parse_date(c, strict=True)
+    assert apply(any_mode, strict, *texts, "2026-05-05", "20260505") == [None] * 7 + [dt.date(2026, 5, 5)] * 2
+
+
 def test_date_fallbacks_and_other_patterns(any_mode):
     late = lambda a, b: W.parse_date(a, fallbacks=[b])
     rows = [("invalid", "2026-05-05 11:15:00"), ("2026-05-06", "2026-05-05 11:15:00"), (None, "no time"), (None, None)]
@@ -62,9 +69,9 @@ def test_waiting_minutes(any_mode):
     rows = [
         ("2026-05-05 08:00:00", "2026-05-05 08:25:59"), ("2026-05-05 08:00:00", "2026-05-05 07:00:00"),
         (None, "2026-05-05 08:00:00"), ("2026-05-05 08:00:00", "bad"), ("2026-05-05", "2026-05-05 08:00:00"),
-        ("0001-01-01 00:00:00", "9999-12-31 00:00:00"),
+        ("0001-01-01 00:00:00", "9999-12-31 00:00:00"), ("2026-05-05 08:00:00.5", "2026-05-05 08:30:00.123"),
     ]
-    assert apply(any_mode, W.elapsed_minutes, *rows) == [25, 0, 0, 0, 0, 2147483647]
+    assert apply(any_mode, W.elapsed_minutes, *rows) == [25, 0, 0, 0, 0, 2147483647, 30]
 
 
 def test_birth_year_and_age(any_mode):

@@ -16,16 +16,18 @@ SELECT
   o_orderkey + again * 1000000000 AS visit_id,
   CASE WHEN o_orderkey % 97 = 0 THEN NULL WHEN o_orderkey % 89 = 0 THEN '  '
        ELSE concat(' lk', CAST(o_orderkey AS STRING), ' ') END AS visit_code,
-  CASE o_orderkey % 8 WHEN 0 THEN d
+  CASE o_orderkey % 11 WHEN 0 THEN d
        WHEN 1 THEN concat(substr(d, 9, 2), '/', substr(d, 6, 2), '/', substr(d, 1, 4))
        WHEN 2 THEN replace(d, '-', '') WHEN 3 THEN replace(d, '-', '/')
        WHEN 4 THEN concat(substr(d, 9, 2), '-', substr(d, 6, 2), '-', substr(d, 1, 4))
-       WHEN 5 THEN replace(d, '-', '.') WHEN 6 THEN 'invalid' ELSE NULL END AS visit_date,
+       WHEN 5 THEN replace(d, '-', '.') WHEN 6 THEN 'invalid'
+       WHEN 7 THEN concat(CAST(CAST(substr(d, 9, 2) AS INT) AS STRING), '/', CAST(CAST(substr(d, 6, 2) AS INT) AS STRING), '/', substr(d, 1, 4))
+       WHEN 8 THEN concat(d, ' 11:15:00') WHEN 9 THEN concat('  ', d) ELSE NULL END AS visit_date,
   CASE WHEN o_orderkey % 61 = 0 THEN 'bn_not_found' ELSE concat('bn', CAST(o_custkey AS STRING)) END AS patient_code,
   CASE WHEN o_orderkey % 67 = 0 THEN 'bs_not_found' ELSE concat('bs', CAST(o_orderkey % 90 AS STRING)) END AS doctor_code,
   CASE WHEN o_orderkey % 59 = 0 THEN NULL ELSE concat(' khoa_', CAST(o_custkey % 25 AS STRING)) END AS department_code,
   CASE WHEN o_orderkey % 43 = 0 THEN 'bh999' ELSE concat('bh', CAST(o_custkey % 20 AS STRING)) END AS insurance_code,
-  concat(d, ' 08:00:00') AS checkin_time,
+  concat(d, ' 08:00:00', CASE WHEN o_orderkey % 13 = 0 THEN '.5' ELSE '' END) AS checkin_time,
   CASE o_orderkey % 5 WHEN 0 THEN concat(d, ' 07:50:00') WHEN 1 THEN concat(d, ' 08:25:30')
        WHEN 2 THEN concat(d, ' 09:10:00') WHEN 3 THEN NULL ELSE 'bad' END AS consultation_start_time,
   CASE o_orderkey % 6 WHEN 0 THEN '150000' WHEN 1 THEN '80,000' WHEN 2 THEN '250000 vnd'
@@ -45,7 +47,7 @@ SELECT
   k AS txn_id,
   concat('tx', CAST(k AS STRING)) AS txn_code,
   concat('lk', CAST(l_orderkey AS STRING)) AS visit_code,
-  CASE WHEN k % 3 = 0 THEN d WHEN k % 3 = 1 THEN replace(d, '-', '') ELSE NULL END AS txn_date,
+  CASE WHEN k % 6 = 0 THEN d WHEN k % 3 = 0 THEN concat(d, ' 10:30:00') WHEN k % 3 = 1 THEN replace(d, '-', '') ELSE NULL END AS txn_date,
   concat('bn', CAST(l_orderkey % 1500 AS STRING)) AS patient_code,
   CASE WHEN k % 41 = 0 THEN NULL ELSE concat('bs', CAST(l_suppkey AS STRING)) END AS doctor_code,
   CASE WHEN k % 37 = 0 THEN ' ' ELSE concat('khoa_', CAST(l_suppkey % 25 AS STRING)) END AS department_code,
@@ -72,7 +74,7 @@ SELECT
        ELSE NULL END AS gender_raw,
   CASE c_custkey % 5 WHEN 0 THEN CAST(1930 + c_custkey % 90 AS STRING) WHEN 1 THEN 'abc'
        WHEN 2 THEN concat(CAST(1940 + c_custkey % 70 AS STRING), '.7') ELSE NULL END AS birth_year,
-  concat('0', CAST(1 + c_custkey % 9 AS STRING), '/05/', CAST(1890 + c_custkey % 130 AS STRING)) AS date_of_birth,
+  concat(CASE WHEN c_custkey % 2 = 0 THEN '0' ELSE '' END, CAST(1 + c_custkey % 9 AS STRING), CASE WHEN c_custkey % 4 < 2 THEN '/05/' ELSE '/5/' END, CAST(1890 + c_custkey % 130 AS STRING)) AS date_of_birth,
   CASE c_nationkey % 5 WHEN 0 THEN 'HCM' WHEN 1 THEN ' ha noi' WHEN 2 THEN 'da nang ' WHEN 3 THEN 'hue'
        ELSE NULL END AS city_raw,
   CASE c_mktsegment WHEN 'BUILDING' THEN '80%' WHEN 'MACHINERY' THEN '0.5' WHEN 'HOUSEHOLD' THEN '0'

@@ -23,8 +23,13 @@ def words(x: str) -> str:
 
 
 def day(x: str) -> str:
-    formats = ("%Y-%m-%d", "%d/%m/%Y", "%Y%m%d", "%Y/%m/%d", "%d-%m-%Y", "%Y.%m.%d")
-    return "coalesce(" + ", ".join(f"CAST(try_strptime({x}, '{f}') AS DATE)" for f in formats) + ")"
+    ymd, dmy = r"\d{4}S\d{1,2}S\d{1,2}", r"\d{1,2}S\d{1,2}S\d{4}"
+    formats = (
+        (ymd.replace("S", "-"), "%Y-%m-%d"), (dmy.replace("S", "/"), "%d/%m/%Y"), (r"\d{8}", "%Y%m%d"),
+        (ymd.replace("S", "/"), "%Y/%m/%d"), (dmy.replace("S", "-"), "%d-%m-%Y"), (ymd.replace("S", "[.]"), "%Y.%m.%d"),
+    )
+    start = lambda p: f"regexp_extract(trim({x}), '^({p})([^0-9]|$)', 1)"
+    return "coalesce(" + ", ".join(f"CAST(try_strptime({start(p)}, '{f}') AS DATE)" for p, f in formats) + ")"
 
 
 def time_day(x: str) -> str:
@@ -61,10 +66,10 @@ def sparse(x: str) -> str:
     )
 
 
-MINUTES = """CASE WHEN try_strptime(consultation_start_time, '%Y-%m-%d %H:%M:%S') IS NULL
-       OR try_strptime(checkin_time, '%Y-%m-%d %H:%M:%S') IS NULL THEN 0
-  ELSE CAST(greatest(trunc((epoch(try_strptime(consultation_start_time, '%Y-%m-%d %H:%M:%S'))
-       - epoch(try_strptime(checkin_time, '%Y-%m-%d %H:%M:%S'))) / 60), 0) AS INTEGER) END"""
+MINUTES = """CASE WHEN try_strptime(substr(consultation_start_time, 1, 19), '%Y-%m-%d %H:%M:%S') IS NULL
+       OR try_strptime(substr(checkin_time, 1, 19), '%Y-%m-%d %H:%M:%S') IS NULL THEN 0
+  ELSE CAST(greatest(trunc((epoch(try_strptime(substr(consultation_start_time, 1, 19), '%Y-%m-%d %H:%M:%S'))
+       - epoch(try_strptime(substr(checkin_time, 1, 19), '%Y-%m-%d %H:%M:%S'))) / 60), 0) AS INTEGER) END"""
 
 GENDER = {"Nam": ("nam", "m", "male"), "Nữ": ("nữ", "nu", "f", "female", "woman"), "Khác": ("khac", "other")}
 CITY = {"TP. Hồ Chí Minh": ("hcm",), "Hà Nội": ("ha noi",), "Đà Nẵng": ("da nang",)}

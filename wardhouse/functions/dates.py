@@ -20,46 +20,72 @@ AGE_EDGES = (17, 35, 55)
 AGE_LABELS = ("0-17", "18-35", "36-55", "56+")
 AGE_UNKNOWN = "Không xác định"
 
-_DIGIT = "9"
+_DIGITS, _MARKS = "0123456789", "-/."
 _PARTS = ("yyyy", "MM", "dd")
 
 
 def _digit_shape(c: Column) -> Column:
-    """Every digit as 9, so that one comparison tells the layout of a date or time text."""
-    return F.translate(c, "0123456789", _DIGIT * 10)
+    """Every digit as 9, so that one comparison tells the layout of a time text."""
+    return F.translate(c, _DIGITS, "9" * 10)
+
+
+def _leading(c: Column) -> Column:
+    """A text up to its first inner blank or `T`, where a time of day may follow the date."""
+    return F.substring_index(F.translate(F.trim(c), "T", " "), " ", 1)
 
 
 def parse_date(
     c: Column | str,
     formats: Sequence[str] = DATE_FORMATS,
     fallbacks: Sequence[Column | str] = (),
+    strict: bool = False,
 ) -> Column:
     """The date that the first fitting pattern gives, else the day of the first usable fall-back time.
 
-    Fixed-width digit patterns are recognised by shape, brought to ISO order and cast once. That avoids
-    one failed (exception-raising) parse per pattern and row; other patterns go through `try_to_date`.
+    Day and month may have one digit, and what follows the date (a time of day) is ignored; `strict` wants the pattern
+    in full and nothing else. Years have four digits. Patterns of year, month and day are brought to ISO order and
+    cast once. That avoids one failed (exception-raising) parse per pattern and row; others go through `try_to_date`.
     """
     c = as_column(c)
-    shape = _digit_shape(c)
-    layouts, others = {}, []
+    text = c if strict else _leading(c)
+    marks = F.translate(text, _DIGITS, "")
+    dashed = F.translate(text, "/.", "--")
+    pieces = (
+        F.substring_index(dashed, "-", 1),
+        F.substring_index(F.substring_index(dashed, "-", 2), "-", -1),
+        F.substring_index(dashed, "-", -1),
+    )
+    layouts: dict[tuple, list[str]] = {}
+    compact, others = [], []
     for fmt in formats:
-        if all(fmt.count(part) == 1 for part in _PARTS) and not re.search(r"[^yMd/.\- ]", fmt):
-            places = tuple(fmt.index(part) + 1 for part in _PARTS)
-            layouts.setdefault(places, []).append(re.sub("[yMd]", _DIGIT, fmt))
-        else:
+        order = tuple(sorted(range(3), key=lambda k: fmt.find(_PARTS[k])))
+        between = re.sub("[yMd]", "", fmt)
+        if any(fmt.count(part) != 1 for part in _PARTS) or between not in ("", "--", "//", ".."):
             others.append(F.try_to_date(c, fmt))
+        elif between:
+            layouts.setdefault(order, []).append(between)
+        else:
+            places = [fmt.index(part) + 1 for part in _PARTS]
+            whole = [F.substring(text, at, len(part)) for at, part in zip(places, _PARTS)]
+            compact.append(((marks == "") & (F.length(text) == 8), F.concat_ws("-", *whole)))
     iso = F
-    for places, shapes in layouts.items():
-        pieces = [F.substring(c, at, len(part)) for at, part in zip(places, _PARTS)]
-        iso = iso.when(shape.isin(*shapes), F.concat_ws("-", *pieces))
-    parsed = [iso.try_cast("date")] if layouts else []
+    for order, between in layouts.items():
+        year, month, day = (pieces[order.index(k)] for k in range(3))
+        # The cast takes one or two digits for month and day, and no more.
+        fits = marks.isin(*between) & (F.length(year) == 4)
+        if strict:
+            fits = fits & (F.length(text) == 10) & (F.length(month) == 2)
+        iso = iso.when(fits, dashed if order == (0, 1, 2) else F.concat_ws("-", year, month, day))
+    for fits, value in compact:
+        iso = iso.when(fits, value)
+    parsed = [iso.try_cast("date")] if layouts or compact else []
     late = [as_column(f).try_cast("timestamp").cast("date") for f in fallbacks]
     return F.coalesce(*parsed, *others, *late)
 
 
 def _exact_timestamp(c: Column) -> Column:
-    """`yyyy-MM-dd HH:mm:ss` only, else NULL."""
-    c = c.cast("string")
+    """`yyyy-MM-dd HH:mm:ss`, else NULL; what follows, such as parts of a second, is ignored."""
+    c = F.left(c.cast("string"), F.lit(19))
     return F.when(_digit_shape(c) == "9999-99-99 99:99:99", c.try_cast("timestamp"))
 
 
