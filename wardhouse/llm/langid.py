@@ -26,8 +26,8 @@ WORD_CHARS = 48
 # Probability of a character that is no piece, and pseudo-count of every piece in every language.
 UNKNOWN, PSEUDO = 1e-6, 0.01
 # Words whose values a task keeps; beyond this it starts anew.
-CACHE_VALUES = 2_000_000
-FLUSH_WORDS = 300_000
+CACHE_VALUES = 1_000_000
+FLUSH_WORDS = 150_000
 
 
 @dataclass(frozen=True)
@@ -232,8 +232,8 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
         def learn(words: list[bytes]) -> np.ndarray:
             out = []
-            for k in range(0, len(words), 20_000):
-                part = words[k : k + 20_000]
+            for k in range(0, len(words), 5_000):
+                part = words[k : k + 5_000]
                 lattice = Lattices(part, pieces)
                 alpha = lattice.forward(model.pieces[lattice.piece].astype(float))
                 total = np.log(np.maximum(alpha[np.arange(len(lattice.length)), lattice.length], 1e-300))
