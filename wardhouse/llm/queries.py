@@ -55,8 +55,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     known = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.select("doc_id", "text", "lang").join(known, "doc_id").where(fold(F.col("doc_id"), 4) != 2)
-    return toxicity.fit(rows.withColumnRenamed("doc_id", "id"))
+    rows = docs.select(F.col("doc_id").alias("id"), "text", "lang").where(fold(docs["doc_id"], 4) != 2)
+    return toxicity.fit(rows, known.withColumnRenamed("doc_id", "id"))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
