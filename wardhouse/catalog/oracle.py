@@ -377,13 +377,13 @@ TEXTS = {
       SELECT * FROM d WHERE updated_at < '2024-02-01' AND patient_code NOT IN (SELECT patient_code FROM new)
       UNION ALL SELECT * FROM new""",
     "registered_views": """WITH spent AS (SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total, count(*) AS n
-        FROM orders WHERE o_orderstatus <> 'P' GROUP BY o_custkey)
+        FROM orders GROUP BY o_custkey)
       SELECT n_name AS nation, c_mktsegment AS segment, CAST(sum(total) AS DECIMAL(38,2)) AS total,
         CAST(sum(n) AS BIGINT) AS orders, count(DISTINCT c_custkey) AS customers
       FROM spent JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
       GROUP BY n_name, c_mktsegment ORDER BY nation, segment""",
     "customers_without_orders": """SELECT c_custkey, c_name FROM customer
-      LEFT JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'P') ON c_custkey = o_custkey WHERE o_custkey IS NULL""",
+      LEFT JOIN (SELECT DISTINCT o_custkey FROM orders) ON c_custkey = o_custkey WHERE o_custkey IS NULL""",
     "left_join_status": """SELECT c_custkey, last_order, CASE WHEN last_order IS NULL THEN 'new' ELSE 'known' END AS kind
       FROM customer LEFT JOIN (SELECT o_custkey, max(o_orderkey) AS last_order FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey""",
     "distinct_days": "SELECT d AS day FROM days WHERE d IS NOT NULL",
