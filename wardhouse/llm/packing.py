@@ -9,11 +9,11 @@ size is bounded by the capacity; documents are tokenized, ranked and placed by S
 
 from __future__ import annotations
 
+import functools
 import heapq
-import struct
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -27,7 +27,10 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY, END_ID = 2048, 0
 # Rounds of the solver, each with one dynamic program; step of the weights; how near a proposal must come to the best.
 ROUNDS, STEP, NEAR = 48, 2.0, 0.02
-CACHE_WORDS = 500_000
+# Words that a worker keeps; words encoded as one text; texts worked on at once.
+CACHE_WORDS, LEARN_WORDS, TEXTS = 1_000_000, 500, 256
+# A string that the tokenizer knows as special, and how tokens that end a word end.
+_SEPARATOR, _WORD_END = b"<|endoftext|>", "</w>"
 # Rows of one length are ranked in so many parts, so that a frequent length is no single task's work.
 RANK_PARTS = 256
 
@@ -40,51 +43,85 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        names = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
+        self.is_end = np.array([(name or "").endswith(_WORD_END) for name in names])
+        self.separator = self.tokenizer.token_to_id(_SEPARATOR.decode())
         self.cache: dict[bytes, bytes] = {}
 
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
-
     def _learn(self, words: list[bytes]) -> None:
-        """A letters-only word before a full stop or comma is a token group of its own, whatever follows."""
-        direct, split = [], []
+        """A word of a-z is one token group, as is a full stop or comma behind it. Words of a-z are encoded as one text
+        without normalising and parted by their end tokens, others by a special string between them."""
+        self.cache.update((m, self._encode(self.tokenizer, [m])[0].tobytes()) for m in (b".", b",") if m not in self.cache)
+        letters, marked, other = [], [], []
         for w in words:
-            if w.endswith((b".", b",")) and w[:-1].decode("utf-8", "replace").isalpha():
-                split.append(w)
-            else:
-                direct.append(w)
-        stems = {w[:-1] for w in split} | {w[-1:] for w in split}
-        direct += [w for w in stems.difference(direct) if w not in self.cache]
-        self.cache.update(zip(direct, self._encode(direct)))
-        self.cache.update((w, self.cache[w[:-1]] + self.cache[w[-1:]]) for w in split)
+            if w.isalpha() and w.islower():
+                letters.append(w)
+            elif w.endswith((b".", b",")) and w[:-1].isalpha() and w.islower():
+                marked.append(w)
+            elif w not in self.cache:
+                other.append(w)
+        letters += {w[:-1] for w in marked}.difference(letters, self.cache)
+        alone = [w for w in other if b"<" in w or b">" in w]
+        alone += self._learn_joined(self.plain, letters, b" ", lambda found: self.is_end[found], 1)
+        apart = [w for w in other if b"<" not in w and b">" not in w]
+        alone += self._learn_joined(self.tokenizer, apart, _SEPARATOR, lambda found: found == self.separator, 0)
+        self.cache.update((w, ids.tobytes()) for w, ids in zip(alone, self._encode(self.tokenizer, alone)))
+        self.cache.update((w, self.cache[w[:-1]] + self.cache[w[-1:]]) for w in marked)
+
+    def _learn_joined(self, tokenizer, words: list[bytes], by: bytes, last: Callable, keep: int) -> list[bytes]:
+        """`last` marks the ids that end a word, `keep` (0 or 1) whether such an id is the word's. Returns the words of
+        texts that do not fall into their words again."""
+        failed = []
+        blocks = [words[k : k + LEARN_WORDS] for k in range(0, len(words), LEARN_WORDS)]
+        for block, found in zip(blocks, self._encode(tokenizer, [by.join(b) for b in blocks])):
+            ends = np.flatnonzero(last(found)).tolist()
+            ends += [] if keep else [len(found)]
+            if len(ends) != len(block) or ends[-1] + keep != len(found):
+                failed += block
+                continue
+            body, at = found.tobytes(), 0
+            for word, end in zip(block, ends):
+                self.cache[word] = body[4 * at : 4 * (end + keep)]
+                at = end + 1
+        return failed
+
+    def _encode(self, tokenizer, texts: list[bytes]) -> list[np.ndarray]:
+        found = tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+        return [np.array(e.ids, "<u4") for e in found]
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        new = [w for w in set().union(*split) if w not in self.cache]
+        new = set().union(*split).difference(self.cache)
         if len(self.cache) + len(new) > CACHE_WORDS:
             self.cache.clear()
-            new = list(set().union(*split))
+            new = set().union(*split)
         if new:
-            self._learn(new)
+            self._learn(list(new))
         return [b"".join(map(self.cache.__getitem__, words)) for words in split]
 
 
+@functools.cache
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One per Python worker: the tasks that a worker runs in turn share the words it knows."""
+    return WordTokenizer(path)
+
+
 def pieces(df: DataFrame, id_col: str, text_col: str, tokenizer: str, capacity: int) -> DataFrame:
     """Columns id, piece, start, length, ids_crc32."""
 
     def per_task():
-        encode = WordTokenizer(tokenizer)
+        encode = word_tokenizer(tokenizer)
         end, step = np.array([END_ID], "<u4").tobytes(), 4 * capacity
 
         def run(batch: pa.RecordBatch) -> dict:
             ids, out = batch.column("id").to_pylist(), {k: [] for k in ("id", "piece", "start", "length", "ids_crc32")}
             texts = batch.column("text").to_pylist()
-            for at in range(0, len(texts), 64):
-                for doc, body in zip(ids[at : at + 64], encode(texts[at : at + 64])):
+            for at in range(0, len(texts), TEXTS):
+                for doc, body in zip(ids[at : at + TEXTS], encode(texts[at : at + TEXTS])):
                     body += end
                     for k in range(0, len(body), step):
                         part = body[k : k + step]
