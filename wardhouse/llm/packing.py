@@ -28,9 +28,11 @@ CAPACITY, END_ID = 2048, 0
 # Rounds of the solver, each with one dynamic program; step of the weights; how near a proposal must come to the best.
 ROUNDS, STEP, NEAR = 48, 2.0, 0.02
 # Words that a worker keeps; words encoded as one text; texts worked on at once.
-CACHE_WORDS, LEARN_WORDS, TEXTS = 1_000_000, 500, 256
+CACHE_WORDS, LEARN_WORDS, TEXTS = 1_000_000, 500, 512
 # A string that the tokenizer knows as special, and how tokens that end a word end.
 _SEPARATOR, _WORD_END = b"<|endoftext|>", "</w>"
+# ASCII marks other than those of special strings and the apostrophe, which may begin a token group with letters.
+_MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "<|>'")
 # Rows of one length are ranked in so many parts, so that a frequent length is no single task's work.
 RANK_PARTS = 256
 
@@ -53,24 +55,24 @@ class WordTokenizer:
         self.cache: dict[bytes, bytes] = {}
 
     def _learn(self, words: list[bytes]) -> None:
-        """A word of a-z is one token group, as is a full stop or comma behind it. Words of a-z are encoded as one text
-        without normalising and parted by their end tokens, others by a special string between them."""
-        self.cache.update((m, self._encode(self.tokenizer, [m])[0].tobytes()) for m in (b".", b",") if m not in self.cache)
-        letters, marked, other = [], [], []
+        """Letters are one token group, and so are marks behind them: a word of both has the ids of both in turn. Words
+        of a-z are encoded as one text without normalising and parted by their end tokens, others by a special string
+        between them."""
+        marked = []
         for w in words:
-            if w.isalpha() and w.islower():
-                letters.append(w)
-            elif w.endswith((b".", b",")) and w[:-1].isalpha() and w.islower():
-                marked.append(w)
-            elif w not in self.cache:
-                other.append(w)
-        letters += {w[:-1] for w in marked}.difference(letters, self.cache)
+            stem = w.rstrip(_MARKS)
+            if stem and len(stem) < len(w) and (stem.isalpha() or stem.decode("utf-8", "replace").isalpha()):
+                marked.append((w, stem, w[len(stem) :]))
+        parts = {part for _, *both in marked for part in both}
+        letters, other = [], []
+        for w in parts.union(words).difference([w for w, *_ in marked], self.cache):
+            (letters if w.isalpha() and w.islower() else other).append(w)
         alone = [w for w in other if b"<" in w or b">" in w]
         alone += self._learn_joined(self.plain, letters, b" ", lambda found: self.is_end[found], 1)
         apart = [w for w in other if b"<" not in w and b">" not in w]
         alone += self._learn_joined(self.tokenizer, apart, _SEPARATOR, lambda found: found == self.separator, 0)
         self.cache.update((w, ids.tobytes()) for w, ids in zip(alone, self._encode(self.tokenizer, alone)))
-        self.cache.update((w, self.cache[w[:-1]] + self.cache[w[-1:]]) for w in marked)
+        self.cache.update((w, self.cache[stem] + self.cache[marks]) for w, stem, marks in marked)
 
     def _learn_joined(self, tokenizer, words: list[bytes], by: bytes, last: Callable, keep: int) -> list[bytes]:
         """`last` marks the ids that end a word, `keep` (0 or 1) whether such an id is the word's. Returns the words of
