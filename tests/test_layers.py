@@ -171,6 +171,13 @@ def test_forecast_stage(spark, tmp_path, monkeypatch):
     for day in (DAY, "2026-05-11"):
         layers.write_layer(fact, conf.layer("warehouse"), "fact_service_revenue", day)
         pipeline.run(spark, "forecast", day, conf)
+        pipeline.run(spark, "forecast", day, conf)
         assert layers.read_layer(spark, conf.layer("forecast"), "champions", day).count() == 2
         assert layers.read_layer(spark, conf.layer("forecast"), "predictions", day).count() == 90
-    assert spark.read.parquet(conf.layer("forecast/runs")).select("run_id").distinct().count() == 2
+    runs = spark.read.parquet(conf.layer("forecast/runs"))
+    assert runs.count() == runs.select("run_id").distinct().count() == 4
+    champions = layers.read_layer(spark, conf.layer("forecast"), "champions", "2026-05-11")
+    assert champions.join(runs, "run_id").count() == 2 and {r.version for r in champions.collect()} == {2}
+    layers.write_layer(fact.limit(0), conf.layer("warehouse"), "fact_service_revenue", "2026-05-12")
+    with pytest.raises(ValueError, match="no service revenue"):
+        pipeline.run(spark, "forecast", "2026-05-12", conf)

@@ -84,29 +84,39 @@ def test_fill_from_parent_keeps_child_rows(spark):
     assert rows(out) == [(1, "v1", "p2", "d2"), (2, "v1", "p9", "d9"), (3, None, None, None), (4, "v3", None, None)]
 
 
-def test_hot_keys_are_salted_and_results_equal_a_plain_join(spark):
+def test_results_equal_a_plain_join(spark):
     child = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None)
                                        .otherwise(F.col("id").cast("string")).alias("k"))
     parent = spark.range(20_000).select(F.col("id").cast("string").alias("k"), (F.col("id") * 2).alias("p")).union(
         spark.createDataFrame([("hot", -1)], "k string, p long"))
-    assert [tuple(r) for r in skew.hot_keys(child, "k", part_rows=1000).collect()] == [("hot", 10)]
-    salted = skew.skew_safe_left_join(child, parent, "k", part_rows=1000)
+    salted = skew.skew_safe_left_join(child, parent, "k")
     assert rows(salted.select("k", "id", "p")) == rows(child.join(parent, "k", "left").select("k", "id", "p"))
 
 
-def test_salting_spreads_copies_of_one_row(spark):
-    child = spark.range(0, 16_000, 1, 16).select(F.lit("hot").alias("k"), F.lit(1).alias("same"))
-    parent = spark.createDataFrame([("hot", 1)], "k string, p int")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+def test_rows_without_a_key_are_spread_and_a_hot_key_is_split_at_run_time(spark, tmp_path):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string"))
+    spark.range(0, 90_000, 1, 6).select(key.alias("k"), "id", F.lit(1).alias("same")).write.parquet(f"{tmp_path}/child")
+    spark.createDataFrame([("hot", 1), ("1", 2)], "k string, p int").write.parquet(f"{tmp_path}/parent")
+    child, parent = spark.read.parquet(f"{tmp_path}/child"), spark.read.parquet(f"{tmp_path}/parent")
+    before = {k: spark.conf.get(k, None) for k in settings}
     try:
-        joined = skew.skew_safe_left_join(child, parent, "k", part_rows=100)
-        per_task = joined.groupBy(F.spark_partition_id()).count().collect()
+        for k, value in settings.items():
+            spark.conf.set(k, value)
+        joined = skew.skew_safe_left_join(child, parent, "k")
+        found = joined.select("*", F.spark_partition_id().alias("task")).collect()
+        joined.collect()
+        final = joined._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert sum(r["count"] for r in per_task) == 16_000
-    assert max(r["count"] for r in per_task) <= 8_000
+        for k, value in before.items():
+            spark.conf.unset(k) if value is None else spark.conf.set(k, value)
+    assert "skew=true" in final
+    assert final.split("Initial Plan")[-1].count("FileScan") == 2
+    assert len(found) == 90_000 and sum(r.p == 1 for r in found) == 30_000 and sum(r.p == 2 for r in found) == 1
+    without = [r.task for r in found if r.k is None]
+    assert len(without) == 30_000 and max(map(without.count, set(without))) < 15_000
 
 
 def test_cleansing_stays_below_the_limit_of_the_jit_compiler(spark, tmp_path):
@@ -257,3 +267,27 @@ def test_prescription_lines_collapse_unless_the_line_number_is_a_key(spark):
     assert [(r.Quantity, r.MedicineRevenueAmount, r.InsurancePaidAmount) for r in one.collect()] == [(2, Decimal(2000), Decimal(1600))]
     lines = facts.build_fact_prescription(stg, dims, keys=("PrescriptionCode", "prescription_line_no"))
     assert lines.count() == 2 and lines.select("PrescriptionFactKey").distinct().count() == 2
+
+
+def test_line_level_keys_of_known_rows_stay(spark):
+    one = "DateKey int, PatientKey int, DoctorKey int, DepartmentKey int, MedicineKey int, InsuranceKey int, VisitCode string, PrescriptionCode string, Quantity int, UnitPrice decimal(18,2), MedicineRevenueAmount decimal(18,2), CoverageRate decimal(5,2), updated_at string, prescription_id string, line int"
+    line = lambda code, n: (1, 1, 1, 1, 1, 1, "v", code, 1, None, None, None, "2026-01-01", "1", n)
+    first = spark.createDataFrame([line("a", 1), line("b", 1)], one)
+    second = spark.createDataFrame([line(c, n) for c in "abcd" for n in (1, 2)], one)
+    identity = ["PrescriptionCode", "line"]
+    before = facts.finish_fact("Fact_Prescription", first, keys=identity)
+    after = facts.finish_fact("Fact_Prescription", second, before, keys=identity)
+    known = {(r.PrescriptionCode, r.line): r.PrescriptionFactKey for r in before.collect()}
+    found = {(r.PrescriptionCode, r.line): r.PrescriptionFactKey for r in after.collect()}
+    assert len(set(found.values())) == 8 and known.items() <= found.items()
+
+
+def test_date_side_is_broadcast_at_any_size(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        days = spark.range(100).select(F.expr("date_add(date'2026-01-01', CAST(id AS INT))").alias("FullDate"), F.col("id").alias("DateKey"))
+        out = star.resolve(days.select(F.col("FullDate").alias("d")), [star.DimRef("date", days, "d", "FullDate", "DateKey", bounded=True)])
+        assert "BroadcastHashJoin" in plan(out) and "SortMergeJoin" not in plan(out)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

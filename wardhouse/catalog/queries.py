@@ -538,14 +538,16 @@ def land_tables(spark, d):
 
 @query
 def row_counts(spark, d):
+    """Counts observed while the judged tables are written."""
     judged = {"stg_visits": visits(spark, d), "stg_service_transactions": services(spark, d)}
-    out = None
+    base, out = new_base(spark), []
     for name, df in judged.items():
         bad = F.col(quality.REASON).isNotNull()
-        one = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~bad).alias("valid"), F.count_if(bad).alias("rejected"))
-        one = one.select(F.lit(name).alias("name"), "rows", "valid", "rejected")
-        out = one if out is None else out.union(one)
-    return out
+        counted, seen = layers.with_row_counts(df, name, valid=~bad, rejected=bad)
+        layers.write_layer(counted, base, name, RUN_DATE)
+        found = seen.get
+        out.append((name, found["rows"], found["valid"], found["rejected"]))
+    return spark.createDataFrame(out, "name string, rows long, valid long, rejected long")
 
 
 @query

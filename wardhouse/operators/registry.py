@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardhouse.operators.forecast import ORDERS
@@ -11,13 +11,14 @@ from wardhouse.operators.merge import upsert_by_key
 RUN_COLUMNS = ("run_id", "series_id", *ORDERS, "season", "mae", "rmse")
 
 
-def run_rows(best: DataFrame, scores: DataFrame, run_id: str) -> DataFrame:
-    """Seven parameters and two metrics per series."""
-    return best.join(scores, "series_id").select(F.lit(run_id).alias("run_id"), *RUN_COLUMNS[1:])
+def run_id(run_date: str) -> Column:
+    """Named by day and series, so a repeated day has the same runs."""
+    return F.sha2(F.concat_ws("|", F.lit(run_date), "series_id"), 256)
 
 
-def log_runs(runs: DataFrame, path: str) -> None:
-    runs.write.mode("append").parquet(path)
+def run_rows(best: DataFrame, scores: DataFrame, run_date: str) -> DataFrame:
+    """Seven parameters and two metrics per series."""
+    return best.join(scores, "series_id").select(run_id(run_date).alias("run_id"), *RUN_COLUMNS[1:])
 
 
 def promote(champions: DataFrame, challengers: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A hot key is split even where the split costs another shuffle behind the join.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # The JVM does not compile methods above 8,000 bytes: longer stages then run operator by operator instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Lets a write that splits by verdict keep both files open instead of sorting every task's rows.
