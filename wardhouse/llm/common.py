@@ -23,6 +23,18 @@ def plain_words(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
 
+def portions(texts: list[bytes], most: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The texts in turn, whole, in lists that end once they hold `most` bytes: what is made of a batch is more than it."""
+    at = held = 0
+    for k, text in enumerate(texts):
+        held += len(text)
+        if held >= most:
+            yield texts[at : k + 1]
+            at, held = k + 1, 0
+    if at < len(texts):
+        yield texts[at:]
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

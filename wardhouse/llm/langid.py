@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardhouse.llm.common import arrow_flow, arrow_map, carried, cut, plain_words, text_bytes
+from wardhouse.llm.common import arrow_flow, arrow_map, carried, cut, plain_words, portions, text_bytes
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 # Longer words are scored as several of this length, which bounds the lattice of a word.
@@ -158,8 +158,8 @@ def _word_counts(df: DataFrame) -> DataFrame:
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 counts.setdefault(lang, Counter()).update(plain_words(text))
-            if sum(map(len, counts.values())) > FLUSH_WORDS:
-                yield flush()
+                if sum(map(len, counts.values())) > FLUSH_WORDS:
+                    yield flush()
         if any(counts.values()):
             yield flush()
 
@@ -242,9 +242,9 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 out.append(sums)
             return np.concatenate(out)
 
-        def step(batch: pa.RecordBatch) -> dict:
+        def judge(texts: list[bytes]) -> tuple[list[str], list[float]]:
             nonlocal values
-            known = [plain_words(t) if ok else [] for t, ok in zip(batch.column("text").to_pylist(), batch.column("ok").to_pylist())]
+            known = [plain_words(t) for t in texts]
             new = [w for w in set().union(*known) if w not in cache]
             if len(cache) + len(new) > limit:
                 cache.clear()
@@ -264,11 +264,20 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 best = int(total.argmax())
                 langs.append(model.languages[best])
                 scores.append(float(1 / np.exp(total - total[best]).sum()))
+            return langs, scores
+
+        def step(batch: pa.RecordBatch) -> dict:
+            langs: list[str] = []
+            scores: list[float] = []
+            for part in portions(batch.column("text").to_pylist()):
+                for column, found in zip((langs, scores), judge(part)):
+                    column += found
             return {"id": batch.column("id"), "lang_pred": langs, "score": scores}
 
         return step
 
     kept, field = carried(df, id_col, carry)
-    source = df.select(kept, text_bytes(df, text_col).alias("text"), has_letter(df[text_col]).alias("ok"))
+    text = F.when(has_letter(df[text_col]), text_bytes(df, text_col)).otherwise(F.lit("").cast("binary"))
+    source = df.select(kept, text.alias("text"))
     schema = T.StructType([field, *T.StructType.fromDDL("lang_pred string, score double")])
     return arrow_map(source, per_task, schema).withColumnRenamed("id", id_col)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import functools
 import heapq
+import os
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -21,14 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardhouse.llm.common import arrow_flow, arrow_map, cut, text_bytes
+from wardhouse.llm.common import arrow_flow, arrow_map, cut, portions, text_bytes
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY, END_ID = 2048, 0
 # Rounds of the solver, each with one dynamic program; step of the weights; how near a proposal must come to the best.
 ROUNDS, STEP, NEAR = 48, 2.0, 0.02
-# Words that a worker keeps; words encoded as one text; texts worked on at once.
-CACHE_WORDS, LEARN_WORDS, TEXTS = 1_000_000, 500, 512
+# Words that a worker keeps; words encoded as one text; such texts encoded at once.
+CACHE_WORDS, LEARN_WORDS, LEARN_TEXTS = 400_000, 500, 16
 # A string that the tokenizer knows as special, and how tokens that end a word end.
 _SEPARATOR, _WORD_END = b"<|endoftext|>", "</w>"
 # ASCII marks other than those of special strings and the apostrophe, which may begin a token group with letters.
@@ -47,6 +48,8 @@ class WordTokenizer:
     def __init__(self, path: str):
         from tokenizers import Tokenizer, normalizers
 
+        # A task has one core; threads of its own would each keep memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.plain.normalizer = normalizers.Sequence([])
         names = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
@@ -91,9 +94,11 @@ class WordTokenizer:
                 at = end + 1
         return failed
 
-    def _encode(self, tokenizer, texts: list[bytes]) -> list[np.ndarray]:
-        found = tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
-        return [np.array(e.ids, "<u4") for e in found]
+    def _encode(self, tokenizer, texts: list[bytes]) -> Iterator[np.ndarray]:
+        for k in range(0, len(texts), LEARN_TEXTS):
+            part = [t.decode("utf-8", "replace") for t in texts[k : k + LEARN_TEXTS]]
+            for e in tokenizer.encode_batch_fast(part, add_special_tokens=False):
+                yield np.array(e.ids, "<u4")
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
@@ -120,10 +125,10 @@ def pieces(df: DataFrame, id_col: str, text_col: str, tokenizer: str, capacity:
         end, step = np.array([END_ID], "<u4").tobytes(), 4 * capacity
 
         def run(batch: pa.RecordBatch) -> dict:
-            ids, out = batch.column("id").to_pylist(), {k: [] for k in ("id", "piece", "start", "length", "ids_crc32")}
-            texts = batch.column("text").to_pylist()
-            for at in range(0, len(texts), TEXTS):
-                for doc, body in zip(ids[at : at + TEXTS], encode(texts[at : at + TEXTS])):
+            ids, out = iter(batch.column("id").to_pylist()), {k: [] for k in ("id", "piece", "start", "length", "ids_crc32")}
+            for texts in portions(batch.column("text").to_pylist()):
+                for body in encode(texts):
+                    doc = next(ids)
                     body += end
                     for k in range(0, len(body), step):
                         part = body[k : k + step]
