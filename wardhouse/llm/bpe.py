@@ -9,6 +9,7 @@ updates three leaves with their paths to the root.
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
 from collections.abc import Callable, Iterable
 
@@ -18,11 +19,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from wardhouse.llm.common import arrow_map, text_bytes
+from wardhouse.llm.common import arrow_map, portions, text_bytes
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
-CACHE_PIECES = 900_000
+# Chunks that a worker keeps, and that it learns at once.
+CACHE_PIECES, LEARN_PIECES = 700_000, 30_000
 # Leaves of all trees that are worked on at once.
 BATCH_LEAVES = 1 << 19
 NONE = np.int64(1) << 62
@@ -144,13 +146,8 @@ class ByteBPE:
         if len(self.cache) + len(new) > CACHE_PIECES:
             self.cache.clear()
             new = list(set().union(*parts))
-        if new:
-            pieces = [self.pattern.findall(c) for c in new]
-            distinct = list(set().union(*pieces))
-            symbols = self.merges.encode([self.first[np.frombuffer(p.encode(), np.uint8)] for p in distinct])
-            # One number object per id, however many words hold it.
-            known = dict(zip(distinct, (tuple(map(self.number.__getitem__, ids.tolist())) for ids in symbols)))
-            self.cache.update((chunk, sum(map(known.__getitem__, ps), ())) for chunk, ps in zip(new, pieces))
+        for at in range(0, len(new), LEARN_PIECES):
+            self._learn(new[at : at + LEARN_PIECES])
         out = []
         for chunks in parts:
             ids: list[int] = []
@@ -159,10 +156,24 @@ class ByteBPE:
             out.append(ids)
         return out
 
+    def _learn(self, chunks: list[str]) -> None:
+        pieces = [self.pattern.findall(c) for c in chunks]
+        distinct = list(set().union(*pieces))
+        symbols = self.merges.encode([self.first[np.frombuffer(p.encode(), np.uint8)] for p in distinct])
+        # One number object per id, however many words hold it.
+        known = dict(zip(distinct, (tuple(map(self.number.__getitem__, ids.tolist())) for ids in symbols)))
+        self.cache.update((chunk, sum(map(known.__getitem__, ps), ())) for chunk, ps in zip(chunks, pieces))
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
 
 
+@functools.cache
+def byte_bpe(path: str, pattern: str) -> ByteBPE:
+    """One per Python worker: the tasks that a worker runs in turn share its tables and the chunks it knows."""
+    return ByteBPE(path, pattern)
+
+
 _IRREGULAR: Callable = regex.compile(r"\s\s|^\s|\s$|\s(?<! )(?=\S)").search
 _CHUNK: Callable = regex.compile(r"\s*\S+|\s+").findall
 
@@ -195,13 +206,12 @@ def encode_digests(
 
 def _encoded(df, id_col, text_col, ranks, pattern, columns, schema) -> DataFrame:
     def per_task():
-        bpe = ByteBPE(ranks, pattern)
+        bpe = byte_bpe(ranks, pattern)
 
         def step(batch: pa.RecordBatch) -> dict:
-            texts = [t.decode("utf-8", "replace") for t in batch.column("text").to_pylist()]
             out: dict = {}
-            for at in range(0, len(texts), 512):
-                ids = bpe.encode(texts[at : at + 512])
+            for part in portions(batch.column("text").to_pylist()):
+                ids = bpe.encode([t.decode("utf-8", "replace") for t in part])
                 for name, values in columns(ids, [bpe.decode(i) for i in ids], bpe.decimal.__getitem__).items():
                     out.setdefault(name, []).extend(values)
             return {"id": batch.column("id")} | out
