@@ -53,11 +53,16 @@ def text_bytes(df: DataFrame, text_col: str) -> Column:
     return F.coalesce(df[text_col].cast("string"), F.lit("")).cast("binary")
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder that driver and executors share."""
+    return f"{scratch_dir(spark)}/llm/{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Writes `df` to the shared scratch folder and reads it back: no step before it runs again, even if executors
     are lost, and values made from row order are fixed."""
     spark = df.sparkSession
-    folder = f"{scratch_dir(spark)}/llm/{uuid.uuid4().hex}"
+    folder = scratch_folder(spark)
     df.write.parquet(folder, compression="zstd")
     return spark.read.schema(df.schema).parquet(folder)
 

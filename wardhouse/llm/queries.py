@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardhouse.llm import ann, bpe, exact_dedup, html, langid, lm, licenses, packing, simhash, toxicity
-from wardhouse.llm.common import fold, read
+from wardhouse.llm import ann, bpe, clusters, exact_dedup, html, langid, lexical, lm, licenses, packing, simhash, toxicity, warc
+from wardhouse.llm.common import fold, read, scratch_folder
 
 
 def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +65,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted", "threshold", "flagged")
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_folder(spark)
+    warc.write_archive(read(spark, sf_dir, "pages"), folder, min_bytes=100)
+    return warc.read_archive(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(read(spark, sf_dir, "embeddings"), size=64, k=8, rounds=10, seed=3, scale=1024)
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=20)
+
+
 QUERIES = {
     name: function
     for name, function in globals().items()
