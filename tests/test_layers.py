@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from wardhouse.plans import pipeline
 from wardhouse.plans.vocabulary import REPLACE_KEYS, SOURCE_COLUMNS
 from wardhouse.session import scratch_dir
-from wardhouse.sources import jdbc, layers
+from wardhouse.sources import jdbc, layers, snapshots
 
 DAY = "2026-05-10"
 
@@ -126,7 +126,7 @@ def sources(spark, fee="100", patient="An", more_patients=()):
 
 
 def stored(spark, conf, name, day):
-    return layers.read_layer(spark, conf.layer("warehouse"), name, day)
+    return snapshots.read(spark, conf.layer("warehouse"), name, day)
 
 
 def test_two_days_and_a_repeat(spark, tmp_path):

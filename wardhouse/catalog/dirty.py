@@ -121,6 +121,20 @@ SELECT n_nationkey AS insurance_id, concat('bh', CAST(n_nationkey AS STRING)) AS
 FROM nation
 """
 
+# What a source holds on other days: `{table}` is the dirty table, `{but}` the engine's word for all columns but some.
+LATER = {
+    "first": {"dirty_patients": "SELECT * FROM {table} WHERE patient_id % 50 <> 3"},
+    "corrected": {
+        "dirty_patients": "SELECT * FROM {table} WHERE patient_id % 50 <> 4",
+        "dirty_departments": "SELECT * FROM {table} WHERE department_id <> 7",
+    },
+    "second": {
+        "dirty_doctors": "SELECT * FROM {table} WHERE doctor_id % 40 <> 5",
+        "dirty_visits": """SELECT * {but} (consultation_fee_raw), CASE WHEN visit_id % 25 = 6 AND consultation_fee_raw = '150000'
+            THEN '140,000' ELSE consultation_fee_raw END AS consultation_fee_raw FROM {table}""",
+    },
+}
+
 _TEXTS = {
     "dirty_visits": VISITS,
     "dirty_services": LINES,
@@ -166,12 +180,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dirty(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def dirty(spark: SparkSession, sf_dir: str, name: str, day: str | None = None) -> DataFrame:
     source = _SOURCES[name]
     text = _text(name, lambda cond: f"explode(CASE WHEN {cond} THEN array(0, 1) ELSE array(0) END)")
-    return spark.sql(text.replace(f"FROM {source}", "FROM {source}"), source=table(spark, sf_dir, source))
+    rows = spark.sql(text.replace(f"FROM {source}", "FROM {source}"), source=table(spark, sf_dir, source))
+    later = LATER.get(day, {}).get(name)
+    return spark.sql(later.replace("{but}", "EXCEPT"), table=rows) if later else rows
 
 
-def renamed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def renamed(spark: SparkSession, sf_dir: str, name: str, day: str | None = None) -> DataFrame:
     """The dirty table under unsettled column names, as sources carry them."""
-    return dirty(spark, sf_dir, name).withColumnsRenamed(_NAMES[name])
+    return dirty(spark, sf_dir, name, day).withColumnsRenamed(_NAMES[name])

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from wardhouse.catalog.dirty import duckdb_text
+from wardhouse.catalog.dirty import LATER, duckdb_text
 
 AS_OF_YEAR = 2024
 
@@ -449,6 +449,185 @@ def _warehouse_counts() -> str:
 TEXTS["warehouse_load"] = _warehouse_counts()
 
 
+# Least squares and recursion ---------------------------------------------------------------------------------------
+
+
+def _exact(tag: str, known: str, chosen: str, steps: int) -> None:
+    """Sub-queries from (series_id, ys) and (series_id, pos, p, d, sp, sd) to `said_<tag>` (series_id, pos, yhats)."""
+    times = lambda n, i: f"CASE WHEN {n} = 2 AND {i} = 1 THEN 2 ELSE 1 END"
+    CTES[f"forms_{tag}"] = f"""SELECT *, list_transform(range(0, d + 7 * sd + 1), lambda k: CASE WHEN k % 7 <= d AND k // 7 <= sd
+        THEN (CASE WHEN (k % 7 + k // 7) % 2 = 0 THEN 1.0 ELSE -1.0 END) * ({times('d', 'k % 7')}) * ({times('sd', 'k // 7')}) ELSE 0.0 END) AS poly,
+      list_filter(range(1, p + 7 * sp + 1), lambda k: k % 7 <= p AND k // 7 <= sp) AS lags
+      FROM {chosen} JOIN {known} USING (series_id)"""
+    CTES[f"moved_{tag}"] = f"""SELECT * EXCLUDE (poly), list_transform(poly, lambda c: CAST(c AS DOUBLE)) AS poly,
+      list_transform(range(len(poly), len(ys) + 1),
+        lambda t: list_sum(list_transform(range(1, len(poly) + 1), lambda k: CAST(poly[k] AS DOUBLE) * ys[t - k + 1]))) AS w FROM forms_{tag}"""
+    dot = lambda a, b: f"list_sum(list_transform(range(lags[-1] + 1, len(w) + 1), lambda t: w[t - {a}] * w[t - {b}]))"
+    CTES[f"system_{tag}"] = f"""SELECT *, list_transform(lags, lambda a: list_append(list_transform(lags, lambda b: {dot('a', 'b')}), {dot('a', '0')})) AS m
+      FROM moved_{tag}"""
+    CTES[f"rec_solve_{tag}"] = f"""SELECT series_id, pos, 0 AS j, m FROM system_{tag} UNION ALL
+      SELECT series_id, pos, j + 1, list_transform(m, lambda r, i: list_transform(r, lambda x, c:
+        CASE WHEN i = j + 1 THEN x / m[j + 1][j + 1] ELSE x - r[j + 1] * (m[j + 1][c] / m[j + 1][j + 1]) END)) FROM rec_solve_{tag} WHERE j < len(m)"""
+    CTES[f"fitted_{tag}"] = f"""SELECT s.series_id, s.pos, s.poly, s.lags, s.w, s.ys, list_transform(r.m, lambda x: x[-1]) AS coef
+      FROM system_{tag} s JOIN rec_solve_{tag} r ON s.series_id = r.series_id AND s.pos = r.pos AND r.j = len(r.m)"""
+    value = "coalesce(list_sum(list_transform(coef, lambda c, i: c * w[len(w) - lags[i] + 1])), 0)"
+    back = "coalesce(list_sum(list_transform(range(2, len(poly) + 1), lambda k: poly[k] * y[len(y) - k + 2])), 0)"
+    CTES[f"rec_roll_{tag}"] = f"""SELECT series_id, pos, poly, lags, coef, 0 AS step, w[-20:] AS w, ys[-20:] AS y, CAST([] AS DOUBLE[]) AS yhats FROM fitted_{tag}
+      UNION ALL SELECT series_id, pos, poly, lags, coef, step + 1, list_append(w[-19:], {value}), list_append(y[-19:], {value} - {back}),
+        list_append(yhats, {value} - {back}) FROM rec_roll_{tag} WHERE step < {steps}"""
+    CTES[f"said_{tag}"] = f"SELECT series_id, pos, yhats FROM rec_roll_{tag} WHERE step = {steps}"
+
+
+CTES["both_days"] = """SELECT series_id, ds, CASE WHEN series_id = 'user_count' THEN round_even(y, 0) ELSE y END AS y,
+  row_number() OVER (PARTITION BY series_id ORDER BY ds DESC) AS back FROM linear2"""
+CTES["train_values"] = "SELECT series_id, list(y ORDER BY ds) AS ys FROM both_days WHERE back > 30 GROUP BY series_id"
+CTES["known_values"] = "SELECT series_id, list(y ORDER BY ds) AS ys FROM both_days WHERE back > 15 GROUP BY series_id"
+CTES["plain_orders"] = """SELECT series_id, p * 243 + d * 81 + sp * 9 + sd * 3 AS pos, p, d, sp, sd
+  FROM (SELECT DISTINCT series_id FROM both_days), (SELECT unnest(range(3)) AS p), (SELECT unnest(range(3)) AS d),
+    (SELECT unnest(range(3)) AS sp), (SELECT unnest(range(3)) AS sd)"""
+_exact("grid", "train_values", "plain_orders", 15)
+CTES["both_scales"] = "SELECT series_id, avg(abs(y)) AS scale FROM both_days GROUP BY series_id"
+CTES["plain_scores"] = """SELECT series_id, pos, avg(abs(yhat - y)) AS val_mae
+  FROM (SELECT series_id, pos, unnest(yhats) AS yhat, unnest(range(15)) AS i FROM said_grid)
+  JOIN (SELECT series_id, y, 30 - back AS i FROM both_days WHERE back BETWEEN 16 AND 30) USING (series_id, i) GROUP BY series_id, pos"""
+CTES["plain_best"] = """SELECT o.* FROM (SELECT series_id, min_by(pos, (val_mae, pos)) AS pos FROM plain_scores GROUP BY series_id) b
+  JOIN plain_orders o ON o.series_id = b.series_id AND o.pos = b.pos"""
+_exact("best", "known_values", "plain_best", 45)
+CTES["champion_values"] = """SELECT series_id, list(y ORDER BY ds) AS ys FROM linear l
+  WHERE ds <= (SELECT max(ds) - 60 FROM linear x WHERE x.series_id = l.series_id) GROUP BY series_id"""
+CTES["champion_orders"] = "SELECT DISTINCT series_id, 495 AS pos, 2 AS p, 0 AS d, 1 AS sp, 0 AS sd FROM linear"
+_exact("champion", "champion_values", "champion_orders", 60)
+
+TEXTS |= {
+    "grid_search_exact": """SELECT s.series_id, CAST(o.pos AS INTEGER) AS pos, CAST(p AS INTEGER) AS p, CAST(d AS INTEGER) AS d, 0 AS q,
+        CAST(sp AS INTEGER) AS sp, CAST(sd AS INTEGER) AS sd, 0 AS sq, 7 AS season, round(val_mae / scale, 5) AS score
+      FROM plain_scores s JOIN plain_orders o USING (series_id, pos) JOIN both_scales USING (series_id)""",
+    "forecast_exact": """SELECT series_id, CAST(last + i + 1 AS DATE) AS ds, CASE WHEN i < 15 THEN 'test' ELSE 'future' END AS segment,
+        round(yhat / scale, 5) AS yhat
+      FROM (SELECT series_id, unnest(yhats) AS yhat, CAST(unnest(range(45)) AS INTEGER) AS i FROM said_best)
+      JOIN (SELECT series_id, max(ds) AS last FROM both_days WHERE back > 15 GROUP BY series_id) USING (series_id) JOIN both_scales USING (series_id)""",
+    "champion_stored": """SELECT series_id, ds, round(yhat / scale, 5) AS yhat
+      FROM (SELECT series_id, unnest(yhats) AS yhat, 60 - unnest(range(60)) AS back FROM said_champion)
+      JOIN placed USING (series_id, back) JOIN (SELECT series_id, avg(abs(y)) AS scale FROM linear GROUP BY series_id) USING (series_id)
+      WHERE back <= 15""",
+    "forecast_status": """WITH several AS (SELECT concat(series_id, '|y', year(ds)) AS series_id, ds, y FROM linear
+        UNION ALL SELECT concat(series_id, '|', year(ds)), ds, y FROM linear WHERE month(ds) = 3 AND day(ds) <= 30),
+      sized AS (SELECT *, count(*) OVER (PARTITION BY series_id) AS n, row_number() OVER (PARTITION BY series_id ORDER BY ds DESC) AS back FROM several),
+      enough AS (SELECT * FROM sized WHERE n > 30),
+      tried AS (SELECT t.series_id, f.season, f.pos, round(avg(abs(t.y - k.y)), 4) AS mae
+        FROM enough t JOIN (SELECT unnest([1, 7, 14]) AS season, unnest([0, 1, 2]) AS pos) f ON t.back <= 15
+        JOIN enough k ON k.series_id = t.series_id AND k.back = 15 + f.season - (15 - t.back) % f.season GROUP BY ALL),
+      known AS (SELECT series_id, list(y ORDER BY ds) AS ys FROM enough WHERE back > 15 GROUP BY series_id),
+      turns AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY mae, pos) AS turn,
+        CAST(trunc(ys[-1]) AS BIGINT) % 5 = 0 OR (CAST(trunc(ys[-1]) AS BIGINT) % 2 = 0 AND season <> 1) AS fails FROM tried JOIN known USING (series_id)),
+      firsts AS (SELECT series_id, min(turn) FILTER (NOT fails) AS turn FROM turns GROUP BY series_id)
+      SELECT f.series_id, CASE WHEN f.turn IS NULL THEN 'failed' WHEN f.turn = 1 THEN 'fitted' ELSE 'fallback' END AS status,
+        CAST(t.pos AS INTEGER) AS pos, CAST(coalesce(f.turn - 1, 3) AS INTEGER) AS failures,
+        round(list_sum(list_transform(range(20), lambda i: ys[len(ys) - season + CAST(i % season AS BIGINT) + 1])), 2) AS total
+      FROM firsts f LEFT JOIN turns t ON f.series_id = t.series_id AND f.turn = t.turn
+      UNION ALL SELECT DISTINCT series_id, 'too_short', CAST(NULL AS INTEGER), 0, CAST(NULL AS DOUBLE) FROM sized WHERE n <= 30""",
+}
+
+
+# Two days of the warehouse ---------------------------------------------------------------------------------------
+
+DATES = ("2024-06-01", "2024-06-02")
+LINE_KEYS = ("DateKey", "DepartmentKey", "DoctorKey", "InsuranceKey", "PatientKey")
+LINE_VALUES = ("InsurancePaidAmount", "PatientPaidAmount", "Quantity", "UnitPrice", "VisitCode")
+# Warehouse table -> surrogate key, code, other columns.
+WAREHOUSE = {
+    "dim_date": ("DateKey", "DateKey", ("FullDate", "DayNumber", "MonthNumber", "MonthName", "QuarterNumber", "YearNumber",
+                                        "DayOfWeekNumber", "DayOfWeekName", "IsWeekend")),
+    "dim_patient": ("PatientKey", "PatientCode", ("FullName", "Gender", "BirthYear", "AgeGroup", "City")),
+    "dim_doctor": ("DoctorKey", "DoctorCode", ("DoctorName", "Gender", "Specialty", "AcademicTitle")),
+    "dim_department": ("DepartmentKey", "DepartmentCode", ("DepartmentName", "DepartmentGroup")),
+    "dim_service": ("ServiceKey", "ServiceCode", ("ServiceName", "ServiceType")),
+    "dim_medicine": ("MedicineKey", "MedicineCode", ("MedicineName", "MedicineGroup", "Unit")),
+    "dim_insurance": ("InsuranceKey", "InsuranceCode", ("InsuranceType", "CoverageRate")),
+    "fact_visit": ("VisitFactKey", "VisitCode", (*LINE_KEYS, "ConsultationFee", "WaitingMinutes", "VisitCount")),
+    "fact_service_revenue": ("ServiceRevenueFactKey", "ServiceTransactionCode", (*LINE_KEYS, *LINE_VALUES, "ServiceKey", "RevenueAmount")),
+    "fact_prescription": ("PrescriptionFactKey", "PrescriptionCode", (*LINE_KEYS, *LINE_VALUES, "MedicineKey", "MedicineRevenueAmount")),
+}
+# The sub-query that gives a table of one day on its own.
+OF_DAY = {**{n: n for n in WAREHOUSE}, "fact_visit": "fact_visits", "fact_service_revenue": "fact_services", "fact_prescription": "fact_prescriptions"}
+CTES["own_days"] = f"""SELECT {DATE_COLUMNS} FROM (SELECT "VisitDate" AS d FROM good_visits UNION SELECT line_day FROM good_services
+  UNION SELECT line_day FROM good_prescriptions)"""
+OF_DAY["dim_date"] = "own_days"
+_NAME = r"(?<![\w\"'.])({})\b(?!['\"])"
+
+
+def _needed(text: str) -> set[str]:
+    found = {n for n in CTES if re.search(_NAME.format(n), text)}
+    return found.union(*[_needed(CTES[n]) for n in found]) if found else found
+
+
+def _day(tag: str, variant: str, before: str | None) -> None:
+    """Copies of all sub-queries for a day; codes known to the day before keep their keys."""
+    names = set().union(*[_needed(n) for n in OF_DAY.values()]) - {"days", "dim_date"}
+    again = lambda text: re.sub(_NAME.format("|".join(sorted(names, key=len, reverse=True))), rf"\1_{tag}", text)
+    for name in [n for n in CTES if n in names]:
+        table = next((t for t, own in OF_DAY.items() if own == name), None)
+        text = again(CTES[name])
+        if name.startswith("dirty_"):
+            text = LATER[variant].get(name, "SELECT * FROM {table}").replace("{table}", name).replace("{but}", "EXCLUDE")
+        elif before and table and table != "dim_date":
+            text = _known_keys(text, table, before)
+        CTES[f"{name}_{tag}"] = text
+    for table, (_, code_col, _) in WAREHOUSE.items():
+        own = f"SELECT * FROM {OF_DAY[table]}_{tag}"
+        if before:
+            own += f""" UNION ALL BY NAME SELECT * FROM {table}_at_{before}
+              WHERE "{code_col}" NOT IN (SELECT "{code_col}" FROM {OF_DAY[table]}_{tag})"""
+        CTES[f"{table}_at_{tag}"] = own
+
+
+def _known_keys(text: str, table: str, before: str) -> str:
+    key, code_col, _ = WAREHOUSE[table]
+    c = f'f."{code_col}"'
+    known = f"""SELECT f.* EXCLUDE ("{key}"), k."{key}" AS known FROM ({text}) f LEFT JOIN {table}_at_{before} k ON {c} = k."{code_col}" """
+    if table.startswith("dim_"):
+        fresh = f"""(SELECT max("{key}") FROM {table}_at_{before})
+          + row_number() OVER (PARTITION BY known IS NULL ORDER BY {bucket(c)}, {c})"""
+    else:
+        fresh = f"""CAST(concat('0x', {bucket(c)}) AS BIGINT) * 68719476736
+          + coalesce((SELECT max(b."{key}") % 68719476736 FROM {table}_at_{before} b WHERE {bucket(f'b."{code_col}"')} = {bucket(c)}), 0)
+          + row_number() OVER (PARTITION BY {bucket(c)}, known IS NULL ORDER BY {c})"""
+    return f"""SELECT * EXCLUDE (known), coalesce(known, {fresh}) AS "{key}" FROM ({known}) f"""
+
+
+def _content(phase: str, tags: tuple[str, str]) -> str:
+    parts = []
+    for tag, day_ in zip(tags, DATES):
+        for table, (key, code_col, others) in WAREHOUSE.items():
+            columns = sorted({key, code_col, *others})
+            texts = ", ".join(f"""coalesce(CAST("{c}" AS VARCHAR), '~')""" for c in columns)
+            parts.append(f"""SELECT '{phase}' AS phase, '{day_}' AS run_date, '{table}' AS name, CAST("{key}" AS BIGINT) AS key,
+              concat_ws('|', {texts}) AS content FROM {table}_at_{tag}""")
+    return " UNION ALL ".join(parts)
+
+
+def _written(first: str, second: str) -> str:
+    parts = []
+    for table, (key, code_col, others) in WAREHOUSE.items():
+        columns = ", ".join(f'"{c}"' for c in sorted({key, code_col, *others}))
+        parts.append(f"""SELECT 'written', '{DATES[1]}', '{table}', (SELECT count(*) FROM (SELECT {columns} FROM {OF_DAY[table]}_{second}
+          EXCEPT SELECT {columns} FROM {table}_at_{first})), CAST((SELECT count(*) FROM {table}_at_{second}) AS VARCHAR)""")
+    return " UNION ALL ".join(parts)
+
+
+_day("a1", "first", None)
+_day("a2", "second", "a1")
+_day("c1", "corrected", None)
+_day("c2", "second", "c1")
+# Patients and departments of the corrected first day are others, and with them all facts that found them.
+_STALE = [f"gold.Dim_{n}" for n in ("Patient", "Department")] + [f"gold.Fact_{n}" for n in ("Visit", "ServiceRevenue", "Prescription")]
+_STALE += [f"warehouse.{n}" for n in ("dim_patient", "dim_department", "fact_visit", "fact_service_revenue", "fact_prescription")]
+TEXTS["warehouse_days"] = " UNION ALL ".join([
+    _content("loaded", ("a1", "a2")), _content("corrected", ("c1", "c2")), _written("a1", "a2"),
+    *[f"SELECT 'stale', '{DATES[1]}', '{name}', 0, ''" for name in _STALE],
+])
+
+
 def sql(name: str) -> str:
     """The text of a query with every shared sub-query it needs in front."""
     text, needed = TEXTS[name], []
@@ -456,8 +635,8 @@ def sql(name: str) -> str:
     def visit(body: str) -> None:
         for cte in CTES:
             if cte not in needed and re.search(rf"(?<![\w\"'.]){cte}\b(?!['\"])", body):
-                visit(CTES[cte])
                 needed.append(cte)
+                visit(CTES[cte])
 
     visit(text)
     order = [n for n in CTES if n in needed]
@@ -465,6 +644,7 @@ def sql(name: str) -> str:
         return text
     shared = ",\n".join(f"{n} AS ({CTES[n]})" for n in order)
     # A text with sub-queries of its own continues the list.
+    words = "WITH RECURSIVE" if any(n.startswith("rec_") for n in order) else "WITH"
     if text.lstrip().startswith("WITH "):
-        return f"WITH {shared},\n{text.lstrip()[5:]}"
-    return f"WITH {shared}\n{text}"
+        return f"{words} {shared},\n{text.lstrip()[5:]}"
+    return f"{words} {shared}\n{text}"

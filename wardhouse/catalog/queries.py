@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 
 from wardhouse import functions as W
 from wardhouse.catalog.dirty import dirty, renamed, table
+from wardhouse.operators import exact
 from wardhouse.operators import forecast as fc
 from wardhouse.operators import keys, merge, quality, registry, series, star
 from wardhouse.operators.canonical import canonicalize
 from wardhouse.operators.dates import build_date_dim
-from wardhouse.plans import dims, facts, forecasting, pipeline, staging
+from wardhouse.plans import dims, facts, forecasting, lineage, pipeline, staging
 from wardhouse.plans import vocabulary as v
 from wardhouse.session import scratch_dir
-from wardhouse.sources import layers
+from wardhouse.sources import layers, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,8 +49,8 @@ def prescriptions(spark: SparkSession, d: str) -> DataFrame:
     return staging.stage_prescriptions(renamed(spark, d, "dirty_prescriptions"), good)
 
 
-def items(spark: SparkSession, d: str, kind: str) -> DataFrame:
-    df = dirty(spark, d, "dirty_items")
+def items(spark: SparkSession, d: str, kind: str, day: str | None = None) -> DataFrame:
+    df = dirty(spark, d, "dirty_items", day)
     names = {c: c.replace("item", kind) for c in df.columns}
     if kind == "medicine":
         names["item_type_raw"] = "medicine_group_raw"
@@ -550,31 +551,87 @@ def row_counts(spark, d):
     return spark.createDataFrame(out, "name string, rows long, valid long, rejected long")
 
 
+def source_tables(spark: SparkSession, d: str, day: str | None = None) -> Callable[[str], DataFrame]:
+    """The sources of a day: see `LATER`."""
+    return {
+        "patients": dirty(spark, d, "dirty_patients", day),
+        "doctors": dirty(spark, d, "dirty_doctors", day),
+        "departments": dirty(spark, d, "dirty_departments", day),
+        "services": items(spark, d, "service", day),
+        "medicines": items(spark, d, "medicine", day),
+        "insurance": dirty(spark, d, "dirty_plans", day),
+        "visits": dirty(spark, d, "dirty_visits", day),
+        "service_transactions": renamed(spark, d, "dirty_services", day),
+        "prescriptions": renamed(spark, d, "dirty_prescriptions", day),
+    }.__getitem__
+
+
 @query
 def warehouse_load(spark, d):
     """All stages from dirty sources to the merged warehouse, twice for the same day; rows per warehouse table."""
-    sources = {
-        "patients": dirty(spark, d, "dirty_patients"),
-        "doctors": dirty(spark, d, "dirty_doctors"),
-        "departments": dirty(spark, d, "dirty_departments"),
-        "services": items(spark, d, "service"),
-        "medicines": items(spark, d, "medicine"),
-        "insurance": dirty(spark, d, "dirty_plans"),
-        "visits": dirty(spark, d, "dirty_visits"),
-        "service_transactions": renamed(spark, d, "dirty_services"),
-        "prescriptions": renamed(spark, d, "dirty_prescriptions"),
-    }
-    conf = pipeline.Config(new_base(spark), sources.__getitem__, as_of=AS_OF)
+    conf = pipeline.Config(new_base(spark), source_tables(spark, d), as_of=AS_OF)
     pipeline.run(spark, "all", RUN_DATE, conf)
     pipeline.run(spark, "load", RUN_DATE, conf)
     out = None
     for name in v.REPLACE_KEYS:
-        stored = layers.read_layer(spark, conf.layer("warehouse"), name, RUN_DATE)
+        stored = snapshots.read(spark, conf.layer("warehouse"), name, RUN_DATE)
         one = stored.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
         out = one if out is None else out.union(one)
     return out
 
 
+def warehouse_content(spark: SparkSession, conf: pipeline.Config, days: tuple[str, ...], phase: str) -> DataFrame:
+    """Every row of every warehouse table on each day: the surrogate key, and all columns by name as one text."""
+    out = None
+    for day in days:
+        for name, key in SURROGATE_KEYS.items():
+            rows = snapshots.read(spark, conf.layer("warehouse"), name, day)
+            texts = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in sorted(rows.columns)]
+            one = rows.select(
+                F.lit(phase).alias("phase"), F.lit(day).alias("run_date"), F.lit(name).alias("name"), F.col(key).cast("long").alias("key"),
+                F.concat_ws("|", *texts).alias("content"),
+            )
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
+SURROGATE_KEYS = {
+    "dim_date": "DateKey",
+    **{name.lower(): key for name, (_, key, *_) in dims.DIMENSIONS.items()},
+    **{pipeline.REPLACE_NAMES[name]: key for name, (_, key, *_) in facts.FACTS.items()},
+}
+NEXT_DATE = "2024-06-02"
+
+
+@query
+def warehouse_days(spark, d):
+    """Two days of the warehouse, and the first one corrected: the content of all tables on both days, before and after.
+
+    The second day has about 1 % of the visits changed, patients added and doctors gone; its load is repeated and two tables
+    are compacted. Then the first day gets other sources, and `rebuild` brings the second one up to date. Beside the content:
+    the rows that the second day wrote, and the tables that the correction made stale.
+    """
+    base, days = new_base(spark), (RUN_DATE, NEXT_DATE)
+    conf = lambda day: pipeline.Config(base, source_tables(spark, d, day), as_of=AS_OF, bucket_rows=500)
+    pipeline.run(spark, "all", RUN_DATE, conf("first"))
+    second = conf("second")
+    pipeline.run(spark, "all", NEXT_DATE, second)
+    pipeline.run(spark, "load", NEXT_DATE, second)
+    for name in ("dim_patient", "fact_visit"):
+        snapshots.compact(spark, second.layer("warehouse"), name, NEXT_DATE)
+    # Parts are never written again, so these rows can be read after the correction too.
+    loaded = warehouse_content(spark, second, days, "loaded")
+    counts = {name: second.counts[f"warehouse.{name}"] for name in SURROGATE_KEYS}
+    notes = [("written", NEXT_DATE, name, n["written"], str(n["rows"])) for name, n in counts.items()]
+
+    pipeline.run(spark, "all", RUN_DATE, conf("corrected"))
+    stale = [e for e in lineage.assess(lineage.entries(spark, base)) if e["stale"]]
+    notes += [("stale", e["run_date"], f"{e['layer']}.{e['name']}", 0, "") for e in stale]
+    pipeline.rebuild(spark, second)
+    corrected = warehouse_content(spark, second, days, "corrected")
+    return loaded.union(corrected).union(spark.createDataFrame(notes, "phase string, run_date string, name string, key long, content string"))
+
+
 # Series ----------------------------------------------------------------------------------------------------------
 
 
@@ -693,3 +750,68 @@ def champion_forecast(spark, d):
     trained = split.groupBy("series_id").agg(F.date_sub(F.max("ds"), 60).alias("train_end"))
     orders = {"p": 1, "d": 0, "q": 1, "sp": 1, "sd": 1, "sq": 1, "season": 7}
     return fc.champion_forecast(split, trained.select("*", *[F.lit(n).alias(k) for k, n in orders.items()]))
+
+
+def scales(split: DataFrame) -> DataFrame:
+    """The mean size of each series: results in this unit are rounded alike for large and small series."""
+    return split.groupBy("series_id").agg(F.avg(F.abs("y")).alias("scale"))
+
+
+@query
+def grid_search_exact(spark, d):
+    """The 81 candidates without moving-average terms for both series, fitted from sums of products."""
+    split = split_history(spark, d)
+    scores = exact.grid_search_exact(split).join(scales(split), "series_id")
+    return scores.select("series_id", "pos", *fc.ORDERS, "season", F.round(F.col("val_mae") / F.col("scale"), 5).alias("score"))
+
+
+@query
+def forecast_exact(spark, d):
+    """Search over these candidates, selection, refit and 45 days ahead, without Python."""
+    split = split_history(spark, d)
+    said = exact.forecast_exact(split, fc.select_best(exact.grid_search_exact(split)))
+    return said.join(scales(split), "series_id").select("series_id", "ds", "segment", F.round(F.col("yhat") / F.col("scale"), 5).alias("yhat"))
+
+
+@query
+def champion_stored(spark, d):
+    """Champions fitted until two months before the end, written as states, and asked for the test days from what was written."""
+    split, base = split_by_priority(spark, d), new_base(spark)
+    last = split.groupBy("series_id").agg(F.max("ds").alias("_last"))
+    known = split.join(last, "series_id").where(F.col("ds") <= F.date_sub("_last", 60)).drop("_last")
+    chosen = split.select("series_id").distinct().withColumn("pos", F.lit(2 * 3**5 + 1 * 3**2))
+    states = exact.states_of(known, chosen).withColumnRenamed("last_ds", "train_end")
+    layers.write_layer(states, base, "champions", RUN_DATE)
+    said = fc.champion_forecast(split, layers.read_layer(spark, base, "champions", RUN_DATE))
+    return said.join(scales(split), "series_id").select("series_id", "ds", F.round(F.col("yhat") / F.col("scale"), 5).alias("yhat"))
+
+
+def last_season(y, order, steps):
+    """A solver that refuses some series and seasons: the last season's values again."""
+    season = order[-1]
+    if int(y[-1]) % 5 == 0 or (int(y[-1]) % 2 == 0 and season != 1):
+        raise RuntimeError(f"no fit with season {season}")
+    return [y[len(y) - season + i % season] for i in range(steps)]
+
+
+@query
+def forecast_status(spark, d):
+    """What becomes of each series when some are short and a solver fails on some candidates: every series once."""
+    days = series.interpolate_linear(series.fill_gaps(by_priority(spark, d)))
+    by_month = days.where("month(ds) = 3").select(F.concat("series_id", F.lit("|"), F.year("ds")).alias("series_id"), "ds", "y")
+    by_year = days.select(F.concat("series_id", F.lit("|y"), F.year("ds")).alias("series_id"), "ds", "y")
+    early = by_month.where(F.dayofmonth("ds") <= 30)
+    long, short = series.split_short(by_year.unionByName(early))
+    split = series.holdout_split(long, check=False)
+    scores = None
+    for pos, season in enumerate((1, 7, 14)):
+        scored = series.accuracy(series.seasonal_naive(split, season))
+        orders = [F.lit(0).alias(name) for name in fc.ORDERS]
+        one = scored.select("series_id", F.lit(pos).alias("pos"), *orders, F.lit(season).alias("season"), F.round("mae", 4).alias("val_mae"))
+        scores = one if scores is None else scores.unionByName(one)
+    known = split.where(F.col("segment") != "test")
+    fits = fc.fit_in_turn(known, fc.ranked_candidates(scores), 20, last_season)
+    total = F.aggregate("yhats", F.lit(0.0), lambda a, x: a + x)
+    done = fits.select("series_id", "status", "pos", F.size("errors").alias("failures"), F.round(total, 2).alias("total"))
+    left_out = short.select("series_id", F.lit(fc.TOO_SHORT).alias("status"), F.lit(None).cast("int").alias("pos"), F.lit(0).alias("failures"), F.lit(None).cast("double").alias("total"))
+    return done.unionByName(left_out)

@@ -89,6 +89,18 @@ def holdout_split(series: DataFrame, val: int = 15, test: int = 15, check: bool
     )
 
 
+def split_short(series: DataFrame, val: int = 15, test: int = 15) -> tuple[DataFrame, DataFrame]:
+    """(series that can be split, one row per series that cannot: `series_id`, `days`, `error_reason`).
+
+    With these taken out, `holdout_split` meets no error, and one short series does not stop the others.
+    """
+    days = F.count(F.lit(1)).over(Window.partitionBy("series_id"))
+    counted = series.withColumn("_days", days)
+    short = series.groupBy("series_id").agg(F.count(F.lit(1)).alias("days")).where(F.col("days") <= val + test)
+    reason = F.lit(f"series_of_{val + test}_days_or_fewer").alias("error_reason")
+    return counted.where(F.col("_days") > val + test).drop("_days"), short.select("series_id", "days", reason)
+
+
 def seasonal_naive(series: DataFrame, season: int = 7, val: int = 15, test: int = 15) -> DataFrame:
     """Forecast of the test days by the last known value of the same weekday before them.
 
