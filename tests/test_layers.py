@@ -89,6 +89,33 @@ def test_jdbc_options(monkeypatch):
     assert calls["mode"] == "append" and calls["saved"]
 
 
+@pytest.mark.parametrize("ids, fair", [("id", 1.2), ("id * id * id", 1.2), ("id % 3", 99), ("CASE WHEN id % 5 > 0 THEN id END", 1.2), ("CAST(id AS STRING)", 1.2)])
+def test_splits_meet_every_row_once(spark, tmp_path, ids, fair):
+    """On a landed table in place of the database's: even, skewed, few, missing and textual ids."""
+    spark.range(8_000).select(F.expr(ids).alias("k")).write.parquet(f"{tmp_path}/t")
+    landed = spark.read.parquet(f"{tmp_path}/t")
+    tests = jdbc.range_predicates("k", jdbc.split_points(landed, "k", 8)) if "STRING" not in ids else jdbc.range_predicates("k", ["2", "o'x"])
+    met = landed.select(sum((F.expr(f"CASE WHEN {t} THEN 1 ELSE 0 END") for t in tests), F.lit(0)).alias("n"))
+    assert met.groupBy("n").count().collect() == [(1, 8_000)]
+    if fair < 99 and "STRING" not in ids:
+        sizes = [landed.where(f"({t}) AND k IS NOT NULL").count() for t in tests]
+        assert len(sizes) == 8 and max(sizes) <= fair * sum(sizes) / 8
+    assert jdbc.range_predicates("k", jdbc.split_points(landed.limit(0), "k", 8)) == ["1 = 1"]
+
+
+def test_scan_by_predicates():
+    calls = {}
+
+    class Session:
+        class read:
+            jdbc = staticmethod(lambda url, table, predicates, properties: calls.update(url=url, table=table, predicates=predicates, properties=properties) or "frame")
+
+    assert jdbc.read_jdbc(Session, "jdbc:x", "t", {"user": "u"}, predicates=["a < 1", "a >= 1"]) == "frame"
+    assert calls == {"url": "jdbc:x", "table": "t", "predicates": ["a < 1", "a >= 1"], "properties": {"fetchsize": "10000", "user": "u"}}
+    with pytest.raises(ValueError):
+        jdbc.read_jdbc(Session, "jdbc:x", "t", {}, jdbc.Partitioning("a", 1, 2, 3), ["a < 1"])
+
+
 def test_scratch_folder_comes_from_the_session(spark):
     folder = scratch_dir(spark)
     assert spark.conf.get("spark.checkpoint.dir").rstrip("/") == folder

@@ -6,8 +6,8 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from wardhouse.operators import exact, registry, series, sketches, state
 from wardhouse.operators import forecast as fc
-from wardhouse.operators import registry, series
 from wardhouse.plans import forecasting
 
 START = dt.date(2026, 1, 1)
@@ -148,3 +148,155 @@ def test_champion_stays_when_better(spark):
     verdicts = registry.promote(old, new)
     assert {r.series_id: r.promoted for r in verdicts.collect()} == {"a": False, "b": True, "c": True}
     assert sorted(map(tuple, registry.crown(old, verdicts).collect())) == [("a", 1.0), ("b", 3.0), ("c", 5.0), ("d", 9.0)]
+
+
+def test_exact_search_equals_the_fits(spark):
+    """Every order without moving-average terms, for a long, a short and a constant series."""
+    y = wave(150)
+    rows = frame(spark, [(i, float(v)) for i, v in enumerate(y)], "a").union(frame(spark, [(i, float(v)) for i, v in enumerate(y[:52])], "b"))
+    split = series.holdout_split(rows)
+    got = {(r.series_id, r.pos): r for r in exact.grid_search_exact(split).collect()}
+    want = [r for r in fc.grid_search(split).collect() if r.q == 0 and r.sq == 0]
+    assert len(got) == sum(r.series_id == "a" for r in want) + sum(k[0] == "b" for k in got) and len(want) == 162
+    for r in want:
+        found = got.get((r.series_id, r.pos))
+        if r.val_mae is None:
+            assert found is None or found.val_mae is None
+        elif r.series_id == "a":
+            assert found.val_mae == pytest.approx(r.val_mae, rel=1e-6) and tuple(found[1:9]) == tuple(r[1:9])
+    best = fc.select_best(exact.grid_search_exact(split).where("series_id = 'a'"))
+    said = {r.ds: (r.yhat, r.segment) for r in exact.forecast_exact(split, best).collect()}
+    plain = {r.ds: (r.yhat, r.segment) for r in fc.forecast(split, best).collect()}
+    assert said.keys() == plain.keys() and len(said) == 45
+    assert all(said[k] == (pytest.approx(plain[k][0], rel=1e-6), plain[k][1]) for k in said)
+
+
+def test_lags_that_depend_on_each_other_have_no_fit(spark):
+    split = series.holdout_split(frame(spark, [(i, 5.0) for i in range(120)]))
+    got = {r.pos: r.val_mae for r in exact.grid_search_exact(split, values=2).collect()}
+    assert got[2**5] == pytest.approx(0.0) and got[2**5 + 2**2] is None and got[0] == 5.0
+
+
+def test_solve(spark):
+    a = np.array([[4.0, 1, 0.5], [1, 3, 0.2], [0.5, 0.2, 2]])
+    b = np.array([1.0, -2, 3])
+    rows = [[*map(float, r), float(v)] for r, v in zip(a, b)]
+    df = spark.createDataFrame([(rows,), ([[1.0, 1.0, 2.0], [1.0, 1.0, 2.0]],), ([[2.0, 4.0]],), ([],)], "m array<array<double>>")
+    found = [r[0] for r in df.select(exact.solve(F.col("m"), F.size("m"))).collect()]
+    np.testing.assert_allclose(found[0], np.linalg.solve(a, b))
+    assert found[1:] == [None, [2.0], []]
+
+
+def test_states_forecast_without_python(spark):
+    """Rolled in the engine and in numpy, with moving-average terms as well."""
+    y, steps = wave(140), 20
+    orders = [(1, 0, 1, 1, 0, 1, 7), (2, 1, 2, 0, 1, 1, 7), (0, 0, 0, 0, 1, 0, 7), (0, 2, 0, 0, 0, 0, 7), (0, 0, 0, 0, 0, 0, 7), (0, 1, 2, 2, 2, 0, 7)]
+    states = [fc.fit_state(y, order) for order in orders]
+    rows = [(str(i), START, *[s[name] for name in state.STATE_TYPES]) for i, s in enumerate(states)]
+    df = spark.createDataFrame(rows, f"series_id string, last_ds date, {state.STATE}")
+    out = state.forecast_from(df, F.lit(steps))
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "Pandas" not in text and "Arrow" not in text
+    got = {}
+    for r in sorted(out.collect(), key=lambda r: r.ds):
+        got.setdefault(int(r.series_id), []).append(r.yhat)
+    for i, order in enumerate(orders):
+        np.testing.assert_allclose(got[i], fc.fit_forecast(y, order, steps), rtol=1e-9)
+    assert state.forecast_from(df, F.lit(0)).count() == 0
+
+
+def test_each_series_comes_back_once(spark):
+    y = [(i, float(v)) for i, v in enumerate(wave(120))]
+    frames = [frame(spark, y, name) for name in ("good", "next", "bad", "none")] + [frame(spark, y[:30], "short")]
+    rows = frames[0]
+    for more in frames[1:]:
+        rows = rows.union(more)
+    long, short = series.split_short(rows)
+    assert [tuple(r) for r in short.collect()] == [("short", 30, "series_of_30_days_or_fewer")]
+    split = series.holdout_split(long, check=False)
+    orders = {name: 0 for name in fc.ORDERS}
+    scored = [(s, pos, *[{**orders, "p": pos}[n] for n in fc.ORDERS], 7, None if s == "none" else float(mae)) for s in ("good", "next", "bad", "none")
+              for pos, mae in ((0, 3), (1, 1), (2, float("nan")), (3, 2))]
+    schema = "series_id string, pos int, " + ", ".join(f"{n} int" for n in fc.ORDERS) + ", season int, val_mae double"
+    ranked = fc.ranked_candidates(spark.createDataFrame(scored, schema), most=2)
+    assert {r.series_id: [c.pos for c in r.ranked] for r in ranked.collect()} == {"good": [1, 3], "next": [1, 3], "bad": [1, 3], "none": []}
+
+    known = split.where("segment <> 'test'").withColumn("y", F.when(F.col("series_id") == "bad", -F.col("y")).when(F.col("series_id") == "next", F.col("y") + 1e6).otherwise(F.col("y")))
+
+    def fit(values, order, steps):
+        if values[0] < 0:
+            raise RuntimeError("never")
+        if values[0] > 1e5 and order[0] == 1:
+            raise KeyError("not this one")
+        return np.full(steps, float(order[0]))
+
+    fits = {r.series_id: r for r in fc.fit_in_turn(known, ranked, 3, fit).collect()}
+    assert {k: (r.status, r.pos, len(r.errors)) for k, r in fits.items()} == {
+        "good": ("fitted", 1, 0), "next": ("fallback", 3, 1), "bad": ("failed", None, 2), "none": ("no_candidate", None, 0)}
+    assert fits["next"].yhats == [3.0] * 3 and "not this one" in fits["next"].errors[0] and fits["bad"].yhats is None
+    status = {r.series_id: r.status for r in forecasting.status(spark.createDataFrame(fits.values(), fc.fit_in_turn(known, ranked, 3, fit).schema), short).collect()}
+    assert status == {"good": "fitted", "next": "fallback", "bad": "failed", "none": "no_candidate", "short": "too_short"}
+
+
+def test_a_champion_speaks_from_its_state(spark):
+    y = [(i, float(v)) for i, v in enumerate(wave(120))]
+    split = series.holdout_split(frame(spark, y, "a").union(frame(spark, y, "b")))
+    order = dict(zip((*fc.ORDERS, "season"), (1, 0, 1, 1, 1, 0, 7)))
+    plain = spark.createDataFrame([(s, START + dt.timedelta(days=80), *order.values()) for s in "ab"], "series_id string, train_end date, " + ", ".join(f"{n} int" for n in order))
+    want = {(r.series_id, r.ds): r.yhat for r in fc.champion_forecast(split, plain).collect()}
+    found = fc.fit_state(np.array([v for _, v in y[:81]]), tuple(order.values()))
+    kept = spark.createDataFrame([("a", *[found[n] for n in state.STATE_TYPES])], f"series_id string, {state.STATE}")
+    # "a" has a state, "b" none and is refitted.
+    got = fc.champion_forecast(split, plain.join(kept, "series_id", "left"))
+    assert {(r.series_id, r.ds): r.yhat for r in got.collect()} == {k: pytest.approx(v) for k, v in want.items()} and len(want) == 30
+
+
+def test_work_is_dealt_by_cost(spark):
+    costs = [fc.fit_cost(tuple(r)[1:]) for r in fc.candidate_grid(spark).orderBy("pos").collect()]
+    assert max(costs) > 50 * min(costs)
+    hands = fc.deal(costs, 27)
+    assert sorted(i for h in hands for i in h) == list(range(729))
+    sums = [sum(costs[i] for i in h) for h in hands]
+    assert max(sums) <= 1.05 * min(sums) and fc.deal([1.0, 2.0], 27) == [[1], [0]] and fc.deal([], 5) == [[]]
+    # Two series or many of different length: tasks within a factor of two.
+    for lengths, tasks in (([900, 900], 32), ([40 + 10 * i for i in range(100)], 32)):
+        packed = spark.createDataFrame([(f"s{i}", [0.0] * n) for i, n in enumerate(lengths)], "series_id string, ys array<double>")
+        work = fc.dealt_work(packed, 27, tasks)
+        loads = [r[0] for r in work.groupBy(F.spark_partition_id()).agg(F.sum(F.size("ys"))).select("sum(size(ys))").collect()]
+        assert len(loads) == tasks and max(loads) <= 2 * min(loads)
+
+
+def test_refreshed_days(spark):
+    totals = [F.sum("v").alias("v")]
+    old = spark.createDataFrame([(1, 10), (2, 20), (3, 30)], "day int, v long")
+    fact = spark.createDataFrame([(1, 1), (2, 5), (2, 6), (4, 7)], "day int, v long")
+    touched = spark.createDataFrame([(2,), (3,), (4,), (4,)], "day int")
+    out = series.refresh_days(old, fact, touched, "day", totals)
+    assert sorted(map(tuple, out.collect())) == [(1, 10), (2, 11), (4, 7)]
+    assert sorted(map(tuple, series.refresh_days(old, fact, touched.limit(0), "day", totals).collect())) == [(1, 10), (2, 20), (3, 30)]
+
+
+def test_only_touched_days_are_read(spark, tmp_path):
+    spark.range(0, 100_000, 1, 1).select((F.col("id") / 100).cast("int").alias("day"), "id").write.parquet(f"{tmp_path}/fact", mode="overwrite")
+    fact = spark.read.parquet(f"{tmp_path}/fact")
+    touched = spark.createDataFrame([(5,), (7,)], "day int")
+    out = series.refresh_days(fact.groupBy("day").agg(F.sum("id").alias("v")), fact, touched, "day", [F.sum("id").alias("v")])
+    assert "PushedFilters: [In(day, [5,7])]" in out._jdf.queryExecution().executedPlan().toString()
+    before = series.LISTED_DAYS
+    series.LISTED_DAYS = 1
+    try:
+        joined = series.refresh_days(fact.groupBy("day").agg(F.sum("id").alias("v")), fact, touched, "day", [F.sum("id").alias("v")])
+        assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, out.collect()))
+    finally:
+        series.LISTED_DAYS = before
+
+
+def test_sketches_add_up(spark):
+    fact = spark.range(60_000).select((F.col("id") % 30).cast("int").alias("day"), (F.col("id") % 7_001).alias("who"))
+    days = sketches.daily_sketches(fact.union(spark.createDataFrame([(1, None)], "day int, who long")), "day", "who")
+    assert days.count() == 30
+    whole = sketches.distinct_over(days, F.lit("all")).first().n
+    assert abs(whole - 7_001) < 0.03 * 7_001
+    fresh = sketches.daily_sketches(spark.createDataFrame([(3, 1), (3, 2)], "day int, who long"), "day", "who")
+    replaced = {r.period: r.n for r in sketches.distinct_over(sketches.replace_days(days, fresh, "day"), F.col("day")).collect()}
+    assert replaced[3] == 2 and len(replaced) == 30

@@ -529,6 +529,41 @@ TEXTS |= {
 }
 
 
+# Rejected, orphan and line-level prescriptions, splits, sketches, refreshed days, a grid of one's own --------------------
+
+CTES["coded_prescriptions"] = "SELECT * REPLACE (concat('rx', txn_id // 10) AS txn_code) FROM dirty_prescriptions"
+for _name in ("prescriptions", "good_prescriptions", "resolved_prescriptions"):
+    _text = re.sub(r"\b(good_|resolved_)?prescriptions\b", r"\1line_prescriptions", CTES[_name]).replace("dirty_prescriptions", "coded_prescriptions")
+    CTES[re.sub(r"prescriptions", "line_prescriptions", _name)] = _text
+CTES["identified_lines"] = "SELECT * REPLACE (concat(code, chr(1), CAST(CAST(id AS BIGINT) % 10 AS VARCHAR)) AS code), code AS own_code FROM resolved_line_prescriptions"
+
+TEXTS |= {
+    "classify_prescriptions_rejected": """SELECT id AS prescription_id, code AS "PrescriptionCode", error_reason
+      FROM prescriptions WHERE error_reason IS NOT NULL""",
+    "orphan_prescriptions": """SELECT id AS prescription_id, code AS "PrescriptionCode", item AS "MedicineCode", "DoctorCode", quantity AS "Quantity",
+      error_reason FROM resolved_prescriptions WHERE error_reason IS NOT NULL""",
+    "fact_prescription_lines": line_fact("identified_lines", "PrescriptionFactKey", "_identity", "medicine", "MedicineRevenueAmount").replace(
+        'code AS "_identity"', """own_code AS "PrescriptionCode", CAST(CAST(id AS BIGINT) % 10 AS VARCHAR) AS prescription_line_no"""),
+    "masters_rejected": """SELECT 'stg_patients' AS name, CAST(patient_id AS VARCHAR) AS id, c AS code, 'missing_patient_code' AS error_reason
+        FROM patients WHERE c IS NULL OR c = ''
+      UNION ALL SELECT 'stg_insurance', CAST(insurance_id AS VARCHAR), c, 'invalid_insurance_code_or_coverage_rate' FROM plans
+        WHERE "CoverageRate" IS NULL""",
+    "jdbc_splits": """SELECT 'even' AS name, count(*) AS rows, count(*) AS met, 8 AS parts, true AS even FROM orders
+      UNION ALL SELECT unnest(['skewed', 'with_null']), count(*), count(*), 8, true FROM lineitem""",
+    "users_by_period": """SELECT kind, CAST(date_trunc(kind, CAST(o_orderdate AS DATE)) AS DATE) AS period, count(DISTINCT o_custkey) AS exact, true AS close
+      FROM orders, (SELECT unnest(['week', 'month']) AS kind) GROUP BY ALL""",
+    "daily_refresh": """WITH o AS (SELECT o_orderkey AS k, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS day, CAST(o_totalprice AS DECIMAL(18,2)) AS amount, o_custkey AS who FROM orders),
+      t AS (SELECT day FROM o WHERE k % 400 = 3 OR k % 500 = 7 OR (k % 700 = 9 AND day <> 19970704)
+        UNION SELECT 19970704 FROM o WHERE k % 700 = 9 AND day <> 19970704 AND k % 400 <> 3)
+      SELECT day AS "DateKey", CAST(sum(amount) AS DECIMAL(38,2)) AS revenue, count(DISTINCT who) AS users, day IN (SELECT day FROM t) AS made_anew
+      FROM o GROUP BY day""",
+    "grid_given": """SELECT series_id, CAST(i AS INTEGER) AS pos, CAST(i % 2 % 3 AS INTEGER) AS p, CAST(i % 3 % 3 AS INTEGER) AS d, CAST(i % 4 % 3 AS INTEGER) AS q,
+        CAST(i % 5 % 3 AS INTEGER) AS sp, CAST(i % 6 % 3 AS INTEGER) AS sd, CAST(i % 7 % 3 AS INTEGER) AS sq,
+        CASE WHEN i = 11 THEN 2000 WHEN i % 2 = 0 THEN 7 ELSE 14 END AS season, i <> 11 AS scored
+      FROM (SELECT DISTINCT series_id FROM by_priority), (SELECT unnest(range(12)) AS i)""",
+}
+
+
 # Two days of the warehouse ---------------------------------------------------------------------------------------
 
 DATES = ("2024-06-01", "2024-06-02")

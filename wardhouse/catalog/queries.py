@@ -12,13 +12,13 @@ from wardhouse import functions as W
 from wardhouse.catalog.dirty import dirty, renamed, table
 from wardhouse.operators import exact
 from wardhouse.operators import forecast as fc
-from wardhouse.operators import keys, merge, quality, registry, series, star
+from wardhouse.operators import keys, merge, quality, registry, series, sketches, star
 from wardhouse.operators.canonical import canonicalize
 from wardhouse.operators.dates import build_date_dim
 from wardhouse.plans import dims, facts, forecasting, lineage, pipeline, staging
 from wardhouse.plans import vocabulary as v
 from wardhouse.session import scratch_dir
-from wardhouse.sources import layers, snapshots
+from wardhouse.sources import jdbc, layers, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -215,6 +215,23 @@ def classify_prescriptions_valid(spark, d):
     return staging.silver(prescriptions(spark, d), "stg_prescriptions")
 
 
+@query
+def classify_prescriptions_rejected(spark, d):
+    return staging.quarantine(prescriptions(spark, d)).select("prescription_id", "PrescriptionCode", quality.REASON)
+
+
+@query
+def masters_rejected(spark, d):
+    """The rejected rows themselves, of all master tables: id, cleansed code, reason."""
+    out = None
+    for name, stage in MASTERS.items():
+        source = next(s for s in dims.DIMENSIONS.values() if s[0] == name)
+        bad = quality.refused(stage(spark, d))
+        one = bad.select(F.lit(name).alias("name"), F.col(source[4]).cast("string").alias("id"), F.col(source[2]).alias("code"), quality.REASON)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query
 def classify_masters(spark, d):
     """Valid and rejected rows per master table."""
@@ -358,6 +375,13 @@ def orphan_visits(spark, d):
     return star.split_orphans(stg, facts.dim_refs("Fact_Visit", all_dims(spark, d, "Fact_Visit")))[1]
 
 
+@query
+def orphan_prescriptions(spark, d):
+    stg = staging.silver(prescriptions(spark, d), "stg_prescriptions")
+    lost = star.split_orphans(stg, facts.dim_refs("Fact_Prescription", all_dims(spark, d, "Fact_Prescription")))[1]
+    return lost.select("prescription_id", "PrescriptionCode", "MedicineCode", "DoctorCode", "Quantity", quality.REASON)
+
+
 @query
 def split_payment(spark, d):
     lines = table(spark, d, "lineitem").select(
@@ -389,6 +413,18 @@ def fact_prescription(spark, d):
     return facts.build_fact_prescription(stg, all_dims(spark, d, "Fact_Prescription"))
 
 
+@query
+def fact_prescription_lines(spark, d):
+    """Prescriptions of several lines, a line number in the key: no line replaces another."""
+    raw = renamed(spark, d, "dirty_prescriptions").withColumns({
+        "PrescriptionNo": F.expr("concat('rx', prescription_id div 10)"),
+        "prescription_line_no": F.expr("CAST(prescription_id % 10 AS STRING)"),
+    })
+    good = staging.silver(visits(spark, d), "stg_visits")
+    stg = quality.accepted(staging.stage_prescriptions(raw, good))
+    return facts.build_fact_prescription(stg, all_dims(spark, d, "Fact_Prescription"), keys=("PrescriptionCode", "prescription_line_no"))
+
+
 @query
 def revenue_per_day(spark, d):
     """Dirty lines to daily revenue: cleanse, classify, star join, latest row, sum."""
@@ -537,6 +573,25 @@ def land_tables(spark, d):
     return joined.groupBy("r_name").agg(F.count(F.lit(1)).alias("customers"), F.count_distinct("n_name").alias("nations"))
 
 
+@query
+def jdbc_splits(spark, d):
+    """Conditions for a scan in eight parts, from a landed table: ids that are even, and ids that are dense in one place."""
+    out = []
+    orders, lines = table(spark, d, "orders"), table(spark, d, "lineitem")
+    dense = lines.select((F.col("l_partkey") * F.col("l_partkey") * F.col("l_quantity").cast("int")).alias("id"))
+    for name, ids in (("even", orders.select(F.col("o_orderkey").alias("id"))), ("skewed", dense), ("with_null", dense.select(F.when(F.col("id") % 7 > 0, F.col("id")).alias("id")))):
+        base = new_base(spark)
+        layers.write_layer(ids, base, name, RUN_DATE)
+        landed = layers.read_layer(spark, base, name, RUN_DATE)
+        tests = jdbc.range_predicates("id", jdbc.split_points(landed, "id", 8))
+        counts = landed.agg(F.count(F.lit(1)).alias("n"), F.count("id").alias("known"), *[F.count_if(F.expr(t)).alias(f"n{k}") for k, t in enumerate(tests)]).first()
+        parts = [counts[f"n{k}"] for k in range(len(tests))]
+        nulls = counts["n"] - counts["known"]
+        even = max(parts[0] - nulls, *parts[1:]) <= 1.3 * counts["known"] / 8
+        out.append((name, counts["n"], sum(parts), len(parts), even))
+    return spark.createDataFrame(out, "name string, rows long, met long, parts int, even boolean")
+
+
 @query
 def row_counts(spark, d):
     """Counts observed while the judged tables are written."""
@@ -635,8 +690,9 @@ def warehouse_days(spark, d):
 # Series ----------------------------------------------------------------------------------------------------------
 
 
-def order_fact(spark: SparkSession, d: str) -> DataFrame:
+def order_fact(spark: SparkSession, d: str, *more: str) -> DataFrame:
     return table(spark, d, "orders").select(
+        *more,
         W.date_key("o_orderdate").alias("DateKey"),
         F.col("o_custkey").alias("PatientKey"),
         F.col("o_totalprice").cast("decimal(18,2)").alias("RevenueAmount"),
@@ -704,6 +760,55 @@ def accuracy(spark, d):
     return scored.select("series_id", F.round("mae", 4).alias("mae"), F.round("rmse", 4).alias("rmse"))
 
 
+@query
+def users_by_period(spark, d):
+    """Distinct patients by week and month from the sketches of days; the error against an exact count is below 3 %."""
+    base, fact = new_base(spark), order_fact(spark, d).withColumn("ds", W.date_from_key("DateKey"))
+    layers.write_layer(sketches.daily_sketches(fact, "ds", "PatientKey"), base, "sketches", RUN_DATE)
+    stored, out = layers.read_layer(spark, base, "sketches", RUN_DATE), None
+    for kind in ("week", "month"):
+        start = F.date_trunc(kind, "ds").cast("date")
+        exact_n = fact.groupBy(start.alias("period")).agg(F.count_distinct("PatientKey").alias("exact"))
+        both = sketches.distinct_over(stored, start).join(exact_n, "period")
+        one = both.select(F.lit(kind).alias("kind"), "period", "exact", (F.abs(F.col("n") - F.col("exact")) <= 0.03 * F.col("exact")).alias("close"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query
+def daily_refresh(spark, d):
+    """The second day adds orders, changes amounts and moves orders to another day: totals of the touched days are made anew."""
+    base = new_base(spark)
+    later = order_fact(spark, d, "o_orderkey")
+    first = later.where("o_orderkey % 400 <> 3").withColumns({
+        "RevenueAmount": F.expr("CAST(CASE WHEN o_orderkey % 500 = 7 THEN RevenueAmount + 1 ELSE RevenueAmount END AS DECIMAL(18,2))"),
+        "DateKey": F.expr("CASE WHEN o_orderkey % 700 = 9 THEN 19970704 ELSE DateKey END"),
+    })
+    totals = [F.sum("RevenueAmount").cast("decimal(38,2)").alias("revenue"), F.count_distinct("PatientKey").alias("users")]
+    for day, fact in ((RUN_DATE, first), (NEXT_DATE, later)):
+        snapshots.append(spark, base, "fact", day, fact, "o_orderkey", bucket_rows=4_000, order=("DateKey",))
+    read = lambda day: snapshots.read(spark, base, "fact", day)
+    layers.write_layer(read(RUN_DATE).groupBy("DateKey").agg(*totals), base, "daily", RUN_DATE)
+    touched = snapshots.touched(spark, base, "fact", NEXT_DATE, "DateKey")
+    layers.write_layer(touched, base, "touched", NEXT_DATE)
+    touched = layers.read_layer(spark, base, "touched", NEXT_DATE)
+    daily = series.refresh_days(layers.read_layer(spark, base, "daily", RUN_DATE), read(NEXT_DATE), touched, "DateKey", totals)
+    marked = daily.join(touched.withColumn("made_anew", F.lit(True)), "DateKey", "left")
+    return marked.select("DateKey", "revenue", "users", F.coalesce("made_anew", F.lit(False)).alias("made_anew"))
+
+
+@query
+def grid_given(spark, d):
+    """A grid of one's own: every candidate comes back once per series, with a score where it can be fitted."""
+    split = split_by_priority(spark, d)
+    grid = spark.range(12).select(
+        F.col("id").cast("int").alias("pos"), *[(F.col("id") % (k + 2) % 3).cast("int").alias(name) for k, name in enumerate(fc.ORDERS)],
+        F.when(F.col("id") == 11, 2000).when(F.col("id") % 2 == 0, 7).otherwise(14).alias("season"),
+    )
+    scores = fc.grid_search(split, grid=grid)
+    return scores.select("series_id", "pos", *fc.ORDERS, "season", F.col("val_mae").isNotNull().alias("scored"))
+
+
 def naive_scores(spark: SparkSession, d: str, season: int) -> DataFrame:
     scored = series.accuracy(series.seasonal_naive(split_by_priority(spark, d), season))
     return scored.select("series_id", F.round("mae", 4).alias("mae"))

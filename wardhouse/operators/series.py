@@ -32,6 +32,26 @@ def daily_series(
     )
 
 
+# Up to so many days are written into the condition, where the scan can use them.
+LISTED_DAYS = 1_000
+
+
+def refresh_days(previous: DataFrame, fact: DataFrame, touched: DataFrame, day_col: str, totals: Sequence[Column]) -> DataFrame:
+    """The daily totals of `fact` (`day_col` and the aggregates), made anew for the `touched` days only.
+
+    The other days are taken from `previous`. A touched day without rows any more disappears. Days are bounded by the
+    calendar, so they may be broadcast; few of them become a condition on the scan.
+    """
+    days = touched.select(day_col).distinct()
+    few = [r[0] for r in days.limit(LISTED_DAYS + 1).collect()]
+    if len(few) <= LISTED_DAYS:
+        again = fact.where(F.col(day_col).isin(few)) if few else fact.limit(0)
+    else:
+        again = fact.join(F.broadcast(days), day_col, "left_semi")
+    fresh = again.groupBy(day_col).agg(*totals)
+    return previous.join(F.broadcast(days), day_col, "left_anti").select(*fresh.columns).unionByName(fresh)
+
+
 def fill_gaps(series: DataFrame) -> DataFrame:
     """A row for every day between the first and the last of each series; `y` is NULL on added days.
 
