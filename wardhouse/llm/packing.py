@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import functools
 import heapq
+import itertools
 import os
 import zlib
 from collections import Counter
@@ -28,8 +29,10 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY, END_ID = 2048, 0
 # Rounds of the solver, each with one dynamic program; step of the weights; how near a proposal must come to the best.
 ROUNDS, STEP, NEAR = 48, 2.0, 0.02
-# Words that a worker keeps; words encoded as one text; such texts encoded at once.
+# Words that a worker keeps, in two generations; words encoded as one text; such texts encoded at once.
 CACHE_WORDS, LEARN_WORDS, LEARN_TEXTS = 400_000, 500, 16
+# Marks of words met once. A false one keeps a rare word, no more.
+MARKS_SIZE = 1 << 21
 # A string that the tokenizer knows as special, and how tokens that end a word end.
 _SEPARATOR, _WORD_END = b"<|endoftext|>", "</w>"
 # ASCII marks other than those of special strings and the apostrophe, which may begin a token group with letters.
@@ -56,6 +59,8 @@ class WordTokenizer:
         self.is_end = np.array([(name or "").endswith(_WORD_END) for name in names])
         self.separator = self.tokenizer.token_to_id(_SEPARATOR.decode())
         self.cache: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.met, self.marks = bytearray(MARKS_SIZE), 0
 
     def _learn(self, words: list[bytes]) -> None:
         """Letters are one token group, and so are marks behind them: a word of both has the ids of both in turn. Words
@@ -101,14 +106,34 @@ class WordTokenizer:
                 yield np.array(e.ids, "<u4")
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
+        """Most words of a corpus occur once, so a word is kept when it comes a second time. When half the room is used,
+        what is kept becomes the older generation; from it words that come again move over, and the rest goes."""
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
         new = set().union(*split).difference(self.cache)
-        if len(self.cache) + len(new) > CACHE_WORDS:
-            self.cache.clear()
-            new = set().union(*split)
+        again = new.intersection(self.older)
+        self.cache.update((w, self.older[w]) for w in again)
+        new -= again
+        known = len(self.cache)
         if new:
             self._learn(list(new))
-        return [b"".join(map(self.cache.__getitem__, words)) for words in split]
+        out = [b"".join(map(self.cache.__getitem__, words)) for words in split]
+        self._forget(known)
+        return out
+
+    def _forget(self, known: int) -> None:
+        """Drops what was learned beyond the first `known` words and not met before."""
+        met, last = self.met, MARKS_SIZE - 1
+        # The newest entries of a dictionary are its last ones.
+        for word in list(itertools.islice(reversed(self.cache), len(self.cache) - known)):
+            place = hash(word) & last
+            if not met[place]:
+                met[place] = 1
+                self.marks += 1
+                del self.cache[word]
+        if 4 * self.marks > MARKS_SIZE:
+            self.met, self.marks = bytearray(MARKS_SIZE), 0
+        if 2 * len(self.cache) > CACHE_WORDS:
+            self.older, self.cache = self.cache, {}
 
 
 @functools.cache
