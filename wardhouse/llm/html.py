@@ -1,8 +1,9 @@
 """Main text of web pages by wrapper induction.
 
 Each page is aligned with a reference page of its host by simple tree matching. A slot of the reference whose text is
-the same in nearly all pages belongs to the template; one whose text varies, and what the reference lacks, is content, unless it stands in a part of the page that
-is furniture by its tag or name (menus, footers, adverts, forms, comments, ...), whose texts may vary as well.
+the same in nearly all pages belongs to the template; one whose text varies, and what the reference lacks, is content,
+unless it stands in a part of the page that is furniture by its tag or name (menus, footers, adverts, forms, comments, ...),
+whose texts may vary as well. No step recurses, so the depth of a page is bounded by its length alone.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import html as entities
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -50,8 +52,17 @@ OUT_NAMES = frozenset(
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(?P<self>/)?>", re.S
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
-_NAME_WORDS = re.compile(r"[a-z]+|\d+")
+# Words that may stand beside these in a name: `site-footer` and `related-articles` are furniture, `ad-free` and
+# `entry-header` are not. A header is one of the page only beside a word of SITE.
+SITE = frozenset("site global main top".split())
+BESIDE = SITE | frozenset(
+    "bottom left right box bar block list lists item items container wrapper wrap inner outer area section links link buttons button"
+    " icons panel holder group row articles posts stories news user users reader readers".split()
+)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
+_NAME_PARTS = re.compile(r"[-_]+")
+# Tables of an alignment up to this many cells are kept whole; larger ones are cut in half first.
+CELLS = 1 << 22
 
 
 class Node:
@@ -63,18 +74,25 @@ class Node:
         self.children: list[Node] = []
 
 
+def names_furniture(name: str) -> bool:
+    """Whether one class or id says that an element is no part of the article."""
+    words = {w for w in _NAME_PARTS.split(name) if w and not w.isdigit()}
+    out = words & OUT_NAMES
+    return bool(out) and words - out <= (SITE if out == {"header"} else BESIDE)
+
+
 def _is_out(tag: str, rest: str) -> bool:
     if tag in OUT_TAGS:
         return True
     for name, value in _ATTRIBUTE.findall(rest) if rest else ():
-        name, value = name.lower(), value.strip("\"'").lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
+        name, value = name.lower(), (value[1:-1] if value[:1] in ("'", '"') else value).lower()
+        if name == "hidden" or (name == "aria-hidden" and value.strip() == "true"):
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
-        if name == "role" and value in OUT_ROLES:
+        if name == "role" and not OUT_ROLES.isdisjoint(value.split()):
             return True
-        if name in ("class", "id") and not OUT_NAMES.isdisjoint(_NAME_WORDS.findall(value)):
+        if name in ("class", "id") and any(map(names_furniture, value.split())):
             return tag not in ("html", "body", "main", "article")
     return False
 
@@ -130,132 +148,239 @@ def parse(source: str) -> Node:
             stack.append(node)
 
 
-def blocks(root: Node) -> list[tuple[tuple, int, bool, bool, str]]:
-    """(path, number in its element, out, in an article, text) of every block of text in page order. Inline elements
-    belong to the block around them. A path is the numbers of the elements in the skeleton."""
-    found: list[tuple[tuple, int, bool, bool, str]] = []
-
-    def walk(node: Node, path: tuple, out: bool, article: bool) -> None:
-        text: list[str] = []
-        lines = children = 0
-
-        def flush() -> None:
-            nonlocal lines
-            line = " ".join(entities.unescape("".join(text)).split())
-            text.clear()
-            if line:
-                found.append((path, lines, out, article, line))
-                lines += 1
-
-        def inside(part: Node) -> None:
-            nonlocal children
-            for x in part.parts:
-                if isinstance(x, str):
-                    text.append(x)
-                elif x.tag in INLINE and not x.out:
-                    if x.tag in ("br", "wbr", "img"):
-                        text.append(" " if x.tag == "br" else "")
-                    inside(x)
-                else:
-                    flush()
-                    walk(x, (*path, children), out or x.out, article or x.tag in ("article", "main"))
-                    children += 1
-
-        inside(node)
-        flush()
-
-    walk(root, (), False, False)
+def _is_inline(node: Node) -> bool:
+    return node.tag in INLINE and not node.out
+
+
+def blocks(root: Node) -> list[tuple[int, int, bool, bool, str]]:
+    """(element, number in it, out, in an article, text) of every block of text in page order. Inline elements belong to
+    the block around them; the other elements are numbered as they begin."""
+    found: list[tuple[int, int, bool, bool, str]] = []
+    elements = 0
+
+    def flush(block: dict) -> None:
+        line = " ".join(entities.unescape("".join(block["text"])).split())
+        block["text"].clear()
+        if line:
+            found.append((block["number"], block["lines"], block["out"], block["article"], line))
+            block["lines"] += 1
+
+    first = {"number": 0, "lines": 0, "out": False, "article": False, "text": []}
+    stack = [(iter(root.parts), first, True)]
+    while stack:
+        parts, block, own = stack[-1]
+        for x in parts:
+            if isinstance(x, str):
+                block["text"].append(x)
+                continue
+            if _is_inline(x):
+                if x.tag == "br":
+                    block["text"].append(" ")
+                stack.append((iter(x.parts), block, False))
+            else:
+                flush(block)
+                elements += 1
+                inner = {"number": elements, "lines": 0, "out": block["out"] or x.out, "article": block["article"] or x.tag in ("article", "main"), "text": []}
+                stack.append((iter(x.parts), inner, True))
+            break
+        else:
+            if own:
+                flush(block)
+            stack.pop()
     return found
 
 
-def skeleton(root: Node) -> tuple:
-    """The tree of block tags with (out) marks; its leaves are what alignment sees."""
-
-    def of(node: Node) -> tuple:
-        inner: list = []
-
-        def gather(n: Node) -> None:
-            for c in n.children:
-                if c.tag in INLINE and not c.out:
-                    gather(c)
-                else:
-                    inner.append(of(c))
-
-        gather(node)
-        return (node.tag, node.out, tuple(inner))
-
-    return of(root)
-
-
-def align(a: tuple, b: tuple, memo: dict | None = None) -> tuple[int, list]:
-    """Simple tree matching of two skeletons: size of the largest top-down order-preserving match, and its pairs as
-    nested lists (position among a's children, among b's, pairs below)."""
-    memo = {} if memo is None else memo
-    found = memo.get((a, b))
-    if found:
-        return found
-    if a[:2] != b[:2]:
-        return 0, []
-    xs, ys = a[2], b[2]
-    if a == b:
-        result = (1 + sum(align(x, x, memo)[0] for x in xs), [(i, i, align(x, x, memo)[1]) for i, x in enumerate(xs)])
-        memo[a, b] = result
-        return result
-    best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-    for i, x in enumerate(xs, 1):
-        row, above = best[i], best[i - 1]
-        for j, y in enumerate(ys, 1):
-            both = above[j - 1] + (align(x, y, memo)[0] if x[:2] == y[:2] else 0)
-            row[j] = max(both, above[j], row[j - 1])
-    pairs, i, j = [], len(xs), len(ys)
-    while i and j:
-        x, y = xs[i - 1], ys[j - 1]
-        size = align(x, y, memo)[0] if x[:2] == y[:2] else 0
-        if size and best[i][j] == best[i - 1][j - 1] + size:
-            pairs.append((i - 1, j - 1, align(x, y, memo)[1]))
-            i, j = i - 1, j - 1
-        elif best[i][j] == best[i - 1][j]:
-            i -= 1
+def _elements_in(node: Node) -> Iterator[Node]:
+    """The next elements below that are not inline, in page order."""
+    stack = [iter(node.children)]
+    while stack:
+        for c in stack[-1]:
+            if _is_inline(c):
+                stack.append(iter(c.children))
+                break
+            yield c
         else:
-            j -= 1
-    result = (1 + best[-1][-1], pairs[::-1])
-    memo[a, b] = result
-    return result
+            stack.pop()
 
 
-def matched(pairs: list, ours: tuple = (), theirs: tuple = ()) -> Iterator[tuple[tuple, tuple]]:
-    """(path in the page, path in the reference) of all matched elements."""
-    yield theirs, ours
-    for i, j, below in pairs:
-        yield from matched(below, (*ours, i), (*theirs, j))
+class Shapes:
+    """Trees of tags and (out) marks. Each different tree has a number, so equal trees are found by comparing numbers; its
+    elements are numbered as they begin, from 0 for the root."""
+
+    def __init__(self):
+        self.numbers: dict[tuple, int] = {}
+        self.label: list[tuple] = []
+        self.below: list[tuple[int, ...]] = []
+        self.size: list[int] = []
+        self.memo: dict[tuple[int, int], tuple[int, list]] = {}
+
+    def add(self, tag: str, out: bool, below: tuple[int, ...]) -> int:
+        key = (tag, out, below)
+        if key not in self.numbers:
+            self.numbers[key] = len(self.label)
+            self.label.append((tag, out))
+            self.below.append(below)
+            self.size.append(1 + sum(self.size[c] for c in below))
+        return self.numbers[key]
+
+    def of(self, root: Node) -> int:
+        stack: list[tuple[Node, Iterator[Node], list[int]]] = [(root, _elements_in(root), [])]
+        while True:
+            node, rest, below = stack[-1]
+            child = next(rest, None)
+            if child is not None:
+                stack.append((child, _elements_in(child), []))
+                continue
+            number = self.add(node.tag, node.out, tuple(below))
+            stack.pop()
+            if not stack:
+                return number
+            stack[-1][2].append(number)
+
+    def align(self, a: int, b: int) -> tuple[int, list[tuple[int, int]]]:
+        """Simple tree matching: size of the largest top-down order-preserving match of two trees, and its pairs among
+        the elements right below (positions)."""
+        if self.label[a] != self.label[b]:
+            return 0, []
+        if a == b:
+            return self.size[a], [(i, i) for i in range(len(self.below[a]))]
+        stack = [(a, b)]
+        while stack:
+            pair = stack[-1]
+            need = None if pair in self.memo else self._open_pairs(*pair)
+            if need:
+                stack += need
+                continue
+            if need is not None:
+                self.memo[pair] = self._match(*pair)
+            stack.pop()
+        return self.memo[a, b]
+
+    def _middle(self, a: int, b: int) -> tuple[tuple[int, ...], tuple[int, ...], int, int]:
+        """What lies between the equal trees at the beginning and at the end; those match each other in a largest match."""
+        xs, ys = self.below[a], self.below[b]
+        most = min(len(xs), len(ys))
+        head = next((i for i in range(most) if xs[i] != ys[i]), most)
+        tail = next((i for i in range(most - head) if xs[-1 - i] != ys[-1 - i]), most - head)
+        return xs[head : len(xs) - tail], ys[head : len(ys) - tail], head, tail
+
+    def _open_pairs(self, a: int, b: int) -> list[tuple[int, int]]:
+        xs, ys, _, _ = self._middle(a, b)
+        others = set(ys)
+        for x in dict.fromkeys(xs):
+            open_ = [(x, y) for y in others if x != y and self.label[x] == self.label[y] and (x, y) not in self.memo]
+            if open_:
+                return open_
+        return []
+
+    def _weight(self, x: int, y: int) -> int:
+        if x == y:
+            return self.size[x]
+        return self.memo[x, y][0] if self.label[x] == self.label[y] else 0
+
+    def _match(self, a: int, b: int) -> tuple[int, list[tuple[int, int]]]:
+        xs, ys, head, tail = self._middle(a, b)
+        pairs = [(i, i) for i in range(head)]
+        total = 1 + sum(self.size[c] for c in self.below[a][:head]) + sum(self.size[c] for c in self.below[a][len(self.below[a]) - tail :])
+        if xs and ys:
+            ux, of_x = np.unique(xs, return_inverse=True)
+            uy, of_y = np.unique(ys, return_inverse=True)
+            weights = np.array([[self._weight(x, y) for y in uy.tolist()] for x in ux.tolist()], np.int64)
+            inner = _best_pairs(of_x, of_y, weights)
+            total += int(sum(weights[of_x[i], of_y[j]] for i, j in inner))
+            pairs += [(head + i, head + j) for i, j in inner]
+        pairs += [(len(self.below[a]) - tail + i, len(self.below[b]) - tail + i) for i in range(tail)]
+        return total, pairs
+
+    def matched(self, a: int, b: int) -> dict[int, int]:
+        """From the element numbers of b to those of a, for all matched elements."""
+        out: dict[int, int] = {}
+        stack = [(a, b, 0, 0)]
+        while stack:
+            a, b, ours, theirs = stack.pop()
+            if a == b:
+                out.update(zip(range(theirs, theirs + self.size[b]), range(ours, ours + self.size[a])))
+                continue
+            size, pairs = self.align(a, b)
+            if not size:
+                continue
+            out[theirs] = ours
+            starts = [np.cumsum([start + 1, *(self.size[c] for c in self.below[t])]) for t, start in ((a, ours), (b, theirs))]
+            stack += [(self.below[a][i], self.below[b][j], int(starts[0][i]), int(starts[1][j])) for i, j in pairs]
+        return out
+
+
+def _rows(of_x: np.ndarray, of_y: np.ndarray, weights: np.ndarray) -> Iterator[np.ndarray]:
+    """Row by row, the weight of the best order-preserving pairs of the first xs with the first ys."""
+    row = np.zeros(len(of_y) + 1, np.int64)
+    yield row
+    for x in of_x:
+        both = row[:-1] + weights[x][of_y]
+        row = np.concatenate([[0], np.maximum.accumulate(np.maximum(row[1:], both))])
+        yield row
+
+
+def _best_pairs(of_x: np.ndarray, of_y: np.ndarray, weights: np.ndarray) -> list[tuple[int, int]]:
+    """Order-preserving pairs with the largest sum of weights. The xs are halved until a table is small (Hirschberg)."""
+    pairs: list[tuple[int, int]] = []
+    stack = [(0, len(of_x), 0, len(of_y))]
+    while stack:
+        x0, x1, y0, y1 = stack.pop()
+        xs, ys = of_x[x0:x1], of_y[y0:y1]
+        if not len(xs) or not len(ys):
+            continue
+        if len(xs) > 1 and len(xs) * len(ys) > CELLS:
+            mid = len(xs) // 2
+            for before in _rows(xs[:mid], ys, weights):
+                pass
+            for behind in _rows(xs[:mid - 1 : -1], ys[::-1], weights):
+                pass
+            cut_at = int((before + behind[::-1]).argmax())
+            stack += [(x0, x0 + mid, y0, y0 + cut_at), (x0 + mid, x1, y0 + cut_at, y1)]
+            continue
+        table = np.stack(list(_rows(xs, ys, weights)))
+        i, j = len(xs), len(ys)
+        while i and j:
+            weight = weights[xs[i - 1], ys[j - 1]]
+            if weight and table[i, j] == table[i - 1, j - 1] + weight:
+                pairs.append((x0 + i - 1, y0 + j - 1))
+                i, j = i - 1, j - 1
+            elif table[i, j] == table[i - 1, j]:
+                i -= 1
+            else:
+                j -= 1
+    return sorted(pairs)
 
 
 class Aligner:
-    """Slots of a page's blocks. Skeletons repeat, so alignments are kept, up to KEPT."""
+    """Slots of a page's blocks. Trees repeat, so alignments are kept, up to KEPT trees and pairs of trees."""
 
-    KEPT = 4_000
+    KEPT = 20_000
 
     def __init__(self):
-        self.references: dict[bytes, tuple] = {}
-        self.paths: dict[tuple, dict] = {}
+        self._begin()
+
+    def _begin(self) -> None:
+        self.shapes = Shapes()
+        self.references: dict[bytes, int] = {}
+        self.found: dict[tuple[int, int], dict[int, int]] = {}
+        self.held = 0
 
     def __call__(self, page: bytes, reference: bytes | None) -> list[tuple[str | None, bool, bool, str]]:
         """(slot or None, out, in an article, text) by block."""
         root = parse(page.decode("utf-8", "replace"))
         if reference is None:
             return [(None, *rest) for _, _, *rest in blocks(root)]
+        if len(self.shapes.label) + len(self.shapes.memo) + self.held > self.KEPT:
+            self._begin()
         if reference not in self.references:
-            if len(self.references) >= self.KEPT:
-                self.references.clear()
-            self.references[reference] = skeleton(parse(reference.decode("utf-8", "replace")))
-        key = self.references[reference], skeleton(root)
-        if key not in self.paths:
-            if len(self.paths) >= self.KEPT:
-                self.paths.clear()
-            self.paths[key] = dict(matched(align(*key)[1]))
-        paths = self.paths[key]
-        slot = lambda path, line: ".".join(map(str, (*paths[path], f"t{line}"))) if path in paths else None
-        return [(slot(path, line), *rest) for path, line, *rest in blocks(root)]
+            self.references[reference] = self.shapes.of(parse(reference.decode("utf-8", "replace")))
+        ours, theirs = self.references[reference], self.shapes.of(root)
+        if (ours, theirs) not in self.found:
+            self.found[ours, theirs] = self.shapes.matched(ours, theirs)
+            self.held += len(self.found[ours, theirs]) // 8
+        place = self.found[ours, theirs]
+        return [(f"{place[element]}.t{line}" if element in place else None, *rest) for element, line, *rest in blocks(root)]
 
 
 def host(url: Column) -> Column:
