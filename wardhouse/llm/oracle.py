@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
+from wardhouse.llm import licenses
+
 
 def _clusters(size: int, k: int, rounds: int) -> str:
     """Rounds of assignment and means, one after the other."""
@@ -27,7 +31,37 @@ def _clusters(size: int, k: int, rounds: int) -> str:
         FROM a{rounds} JOIN c{rounds} USING (cluster)"""
 
 
+def _licenses() -> str:
+    """Phrases and templates as words; grams joined to grams, votes by diagonal, diagonals by their distance."""
+    words = lambda text: [w for w in re.split(licenses.SEPARATORS, text.lower()) if w]
+    listed = lambda pairs: ", ".join(f"('{label}', {n}, [{', '.join(repr(w) for w in words(text))}])" for n, (label, text) in enumerate(pairs))
+    grams = lambda source, k: f"""SELECT *, array_to_string(words[i + 1:i + {k}], ' ') AS gram
+        FROM (SELECT *, unnest(range(greatest(len(words) - {k - 1}, 0))) AS i FROM {source})"""
+    short, long = licenses.PHRASE_GRAM, licenses.TEMPLATE_GRAM
+    return f"""WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents),
+      phrases(label, phrase, words) AS (VALUES {listed([(v, p) for p, v in licenses.PHRASES.items()])}),
+      templates(label, template, words) AS (VALUES {listed(licenses.TEMPLATES)}),
+      pg AS (SELECT *, len(words) - {short - 1} AS grams FROM ({grams('phrases', short)})),
+      tg AS (SELECT *, len(words) - {long - 1} AS grams FROM ({grams('templates', long)})),
+      base AS (SELECT doc_id, count(*) AS n_base, min(diagonal) AS first_word, max(diagonal) AS last_word, list(DISTINCT label ORDER BY label) AS labels
+        FROM (SELECT g.doc_id, p.phrase, p.label, g.i - p.i AS diagonal, any_value(p.grams) AS grams, count(*) AS votes
+          FROM ({grams('d', short)}) g JOIN pg p USING (gram) GROUP BY ALL) WHERE votes = grams GROUP BY doc_id),
+      hits AS (SELECT g.doc_id, t.template, t.label, t.grams, t.i AS place, g.i AS pos, g.i - t.i AS diagonal FROM ({grams('d', long)}) g JOIN tg t USING (gram)),
+      steps AS (SELECT *, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) > {licenses.NEIGHBOUR_WORDS}, true) AS starts FROM hits),
+      spans AS (SELECT *, sum(CAST(starts AS INTEGER)) OVER (PARTITION BY doc_id, template ORDER BY diagonal RANGE UNBOUNDED PRECEDING) AS span FROM steps),
+      shares AS (SELECT doc_id, label, any_value(grams) AS grams, CASE WHEN max(pos) - min(pos) < 2 * any_value(grams) THEN count(DISTINCT place) / any_value(grams) ELSE 0 END AS share
+        FROM spans GROUP BY doc_id, template, label, span),
+      found AS (SELECT doc_id, max(share) AS share, list(DISTINCT label) FILTER (share >= CASE WHEN grams < {licenses.SHORT_GRAMS} THEN 1 ELSE {licenses.COVERAGE} END) AS labels
+        FROM shares GROUP BY doc_id)
+      SELECT d.doc_id, len(d.words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(array_to_string(b.labels, ','), '') AS base_labels,
+        array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(f.labels, [])))), ',') AS labels,
+        CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0.0) END AS score
+      FROM d LEFT JOIN base b USING (doc_id) LEFT JOIN found f USING (doc_id)"""
+
+
 TEXTS = {
+    "op6_license_scan": _licenses(),
     "op3_exact_dedup": """
         WITH t AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body
