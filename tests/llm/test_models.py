@@ -32,7 +32,7 @@ def test_forward_sums_all_segmentations():
     rng = np.random.default_rng(0)
     weight = rng.random(len(pieces) + 1)
     words = [w.encode() for w in ("the", "und", "x", "ñandú", "§§q", "station")]
-    lattice = langid.Lattices(words, pieces)
+    lattice = langid.Lattices(["▁" + w.decode() for w in words], pieces)
     alpha = lattice.forward(weight[lattice.piece])
     used = lattice.usage(weight[lattice.piece])
     for k, word in enumerate(words):
@@ -49,6 +49,57 @@ def test_forward_sums_all_segmentations():
             assert got[piece] == pytest.approx(p / total)
 
 
+def log_sum(values):
+    top = max(values)
+    return top + math.log(sum(math.exp(v - top) for v in values))
+
+
+def plain_chain(text, number, log_weight):
+    """Log probability of a text over all segmentations, and the expected uses of each piece, position by position."""
+    unknown, longest = len(number), max(map(len, number))
+    edges = [(j, i, number.get(text[j:i], unknown if i - j == 1 else None)) for i in range(1, len(text) + 1) for j in range(max(0, i - longest), i)]
+    edges = [e for e in edges if e[2] is not None]
+    alpha, beta = [0.0] + [None] * len(text), [None] * len(text) + [0.0]
+    for i in range(1, len(text) + 1):
+        alpha[i] = log_sum([alpha[j] + log_weight[p] for j, end, p in edges if end == i])
+    for j in range(len(text) - 1, -1, -1):
+        beta[j] = log_sum([beta[i] + log_weight[p] for start, i, p in edges if start == j])
+    used = Counter()
+    for j, i, p in edges:
+        used[p] += math.exp(alpha[j] + log_weight[p] + beta[i] - alpha[-1])
+    return alpha[-1], used
+
+
+@pytest.mark.parametrize("window", [langid.WINDOW, 7])
+def test_words_of_any_length(window, monkeypatch):
+    """No cut: the segmentations across every place of a long word are summed."""
+    monkeypatch.setattr(langid, "WINDOW", window)
+    pieces = langid.Pieces(langid.VOCABULARY)
+    number = {s: k for k, s in enumerate(pieces.strings)}
+    log_weight = np.log(np.random.default_rng(3).random((len(pieces) + 1, 2)) * 1e-3 + 1e-9)
+    words = [("station" * 43)[:300], "a" * 60, "日本語テキスト" * 8, "x" * 48, "§" * 49 + "and"]
+    texts = ["▁" + w for w in words]
+    long = langid.LongWords(texts, pieces)
+    totals = long.totals(log_weight)
+    sums, lang, count = np.zeros((2, len(pieces) + 1)), np.array([0, 1, 0, 1, 1]), np.array([1, 2, 3, 1, 5])
+    long.usage(log_weight, lang, count, sums)
+    want = np.zeros_like(sums)
+    for k, text in enumerate(texts):
+        for j in range(2):
+            total, used = plain_chain(text, number, log_weight[:, j])
+            assert totals[k, j] == pytest.approx(total)
+            if j == lang[k]:
+                for p, n in used.items():
+                    want[j, p] += n * count[k]
+    np.testing.assert_allclose(sums, want, rtol=1e-6, atol=1e-12)
+    # At the length where doubles end, both ways agree.
+    short, texts, groups = langid.by_length([("station" * 7)[:47].encode(), ("station" * 7)[:48].encode(), b"a" * 500])
+    assert short == [0] and [g[0] for g in groups] == [[2, 1]]
+    lattice = langid.Lattices(texts, pieces)
+    alpha = lattice.forward(np.exp(log_weight)[lattice.piece])
+    np.testing.assert_allclose(np.log(alpha[0, 48]), langid.LongWords(texts, pieces).totals(log_weight)[0])
+
+
 def test_pieces_find_every_string_and_no_other():
     pieces = langid.Pieces(langid.VOCABULARY)
     known = set(pieces.strings)

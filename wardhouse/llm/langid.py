@@ -21,8 +21,9 @@ from pyspark.sql import types as T
 from wardhouse.llm.common import arrow_flow, arrow_map, carried, cut, plain_words, portions, text_bytes
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
-# Longer words are scored as several of this length, which bounds the lattice of a word.
-WORD_CHARS = 48
+# Up to this length the probability of a word and of its parts is a double; those of longer words are kept as logarithms.
+# Long words go in groups of about so many characters, in windows of so many positions.
+WORD_CHARS, GROUP_CHARS, WINDOW = 48, 200_000, 4_096
 # Probability of a character that is no piece, and pseudo-count of every piece in every language.
 UNKNOWN, PSEUDO = 1e-6, 0.01
 # Words whose values a task keeps; beyond this it starts anew.
@@ -84,21 +85,12 @@ class Pieces:
 
 
 class Lattices:
-    """All ways to cut each of some words into pieces: edges (row, start, end, piece), sorted by end and row. Each word
-    is a row, a longer one several; `owner` is a row's word."""
-
-    def __init__(self, words: list[bytes], pieces: Pieces):
-        parts, owner = [], []
-        for k, word in enumerate(words):
-            text = "▁" + word.decode("utf-8", "replace")
-            if len(text) <= WORD_CHARS:
-                parts.append(text)
-                owner.append(k)
-            else:
-                cut_up = [text[at : at + WORD_CHARS] for at in range(0, len(text), WORD_CHARS)]
-                parts += cut_up
-                owner += [k] * len(cut_up)
-        self.owner, self.length = np.array(owner), np.array([len(p) for p in parts])
+    """All ways to cut each of some words, of WORD_CHARS at most, into pieces: edges (row, start, end, piece), sorted by end
+    and row. Each word is a row."""
+
+    def __init__(self, words: list[str], pieces: Pieces):
+        parts = words
+        self.length = np.array([len(p) for p in parts])
         codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
         row_of = np.repeat(np.arange(len(parts)), self.length)
         first = np.cumsum(self.length) - self.length
@@ -144,6 +136,102 @@ class Lattices:
         return used
 
 
+class LongWords:
+    """Words of any length, side by side. Their edges are made window by window; sums over segmentations are logarithms, as
+    the probability of a long word is no double."""
+
+    def __init__(self, words: list[str], pieces: Pieces):
+        self.pieces, self.length = pieces, np.array([len(w) for w in words])
+        self.codes = np.zeros((len(words), self.length.max()), np.uint32)
+        for row, word in enumerate(words):
+            self.codes[row, : len(word)] = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+    def windows(self) -> list[tuple[int, int]]:
+        longest = int(self.length.max())
+        return [(lo, min(lo + WINDOW, longest)) for lo in range(0, longest, WINDOW)]
+
+    def edges(self, lo: int, hi: int) -> tuple[np.ndarray, ...]:
+        """row, start, end, piece of the edges that end behind `lo` and up to `hi`, by end and row, and where each end's begin."""
+        base = max(0, lo - self.pieces.longest + 1)
+        part = self.codes[:, base:hi].astype(np.uint64)
+        rows, width = part.shape
+        row_of, start_of = np.repeat(np.arange(rows), width), np.tile(np.arange(width), rows)
+        left = np.minimum(self.length - base, width)
+        table = []
+        for n, h in enumerate(self.pieces.rolling(part.ravel(), self.pieces.longest), start=1):
+            stop = start_of[: len(h)] + n
+            within = np.flatnonzero((stop <= left[row_of[: len(h)]]) & (stop + base > lo))
+            piece = self.pieces.find(h[within])
+            if n == 1:
+                piece[piece < 0] = len(self.pieces)
+            at, piece = within[piece >= 0], piece[piece >= 0]
+            table.append(np.stack([row_of[at], start_of[at] + base, start_of[at] + base + n, piece]))
+        found = np.concatenate(table, axis=1)
+        row, start, end, piece = found[:, np.argsort(found[2] * rows + found[0], kind="stable")]
+        return row, start, end, piece, np.searchsorted(end, np.arange(lo + 1, hi + 2))
+
+    def _walk(self, lo: int, hi: int, alpha: np.ndarray, shift: int, row, start, cuts, weight) -> None:
+        """Sums up to each position of a window; position p is in column p - `shift` of `alpha`."""
+        for e in range(lo + 1, hi + 1):
+            at = slice(cuts[e - lo - 1], cuts[e - lo])
+            rows = row[at]
+            if len(rows):
+                first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+                alpha[rows[first], e - shift] = np.logaddexp.reduceat(alpha[rows, start[at] - shift] + weight[at], first, axis=0)
+
+    def totals(self, log_weight: np.ndarray) -> np.ndarray:
+        """Logarithm of each word's probability by language, from those of the pieces."""
+        far, shape = self.pieces.longest, log_weight.shape[1:]
+        # Only the sums that an edge can still reach are kept from window to window.
+        alpha = np.full((len(self.length), far + WINDOW + 1, *shape), -np.inf)
+        alpha[:, far] = 0
+        out = np.full((len(self.length), *shape), -np.inf)
+        for lo, hi in self.windows():
+            row, start, _, piece, cuts = self.edges(lo, hi)
+            self._walk(lo, hi, alpha, lo - far, row, start, cuts, log_weight[piece])
+            ended = np.flatnonzero((self.length > lo) & (self.length <= hi))
+            out[ended] = alpha[ended, self.length[ended] - lo + far]
+            alpha[:, : far + 1] = alpha[:, hi - lo : hi - lo + far + 1].copy()
+            alpha[:, far + 1 :] = -np.inf
+        return out
+
+    def usage(self, log_weight: np.ndarray, lang: np.ndarray, count: np.ndarray, sums: np.ndarray) -> None:
+        """Adds to `sums` (language, piece) how often segmentations drawn from the model use each piece, `count` times a word."""
+        every = np.arange(len(self.length))
+        alpha = np.full((len(every), self.length.max() + 1), -np.inf)
+        alpha[:, 0] = 0
+        for lo, hi in self.windows():
+            row, start, _, piece, cuts = self.edges(lo, hi)
+            self._walk(lo, hi, alpha, 0, row, start, cuts, log_weight[piece, lang[row]])
+        total, beta = alpha[every, self.length], np.full(alpha.shape, -np.inf)
+        beta[every, self.length] = 0
+        for lo, hi in reversed(self.windows()):
+            row, start, end, piece, cuts = self.edges(lo, hi)
+            weight = log_weight[piece, lang[row]]
+            for e in range(hi, lo, -1):
+                at = slice(cuts[e - lo - 1], cuts[e - lo])
+                rows, first = row[at], start[at]
+                behind = weight[at] + beta[rows, e]
+                used = np.exp(alpha[rows, first] + behind - total[rows]) * count[rows]
+                np.add.at(sums, (lang[rows], piece[at]), used)
+                # Of the edges that end here, no two of a row begin at the same place.
+                beta[rows, first] = np.logaddexp(beta[rows, first], behind)
+
+
+def by_length(words: list[bytes]) -> tuple[list[int], list[str], list[tuple[list[int], list[str]]]]:
+    """Places and letters of the short words, and groups of long ones."""
+    texts = ["▁" + w.decode("utf-8", "replace") for w in words]
+    short = [k for k, t in enumerate(texts) if len(t) <= WORD_CHARS]
+    groups: list[tuple[list[int], list[str]]] = []
+    for k in sorted((k for k, t in enumerate(texts) if len(t) > WORD_CHARS), key=lambda k: -len(texts[k])):
+        # Longest first: a group is as wide as its first word.
+        if not groups or (len(groups[-1][0]) + 1) * len(groups[-1][1][0]) > GROUP_CHARS:
+            groups.append(([], []))
+        groups[-1][0].append(k)
+        groups[-1][1].append(texts[k])
+    return short, [texts[k] for k in short], groups
+
+
 def _word_counts(df: DataFrame) -> DataFrame:
     """(lang, word, n) over all rows of (lang, text); counted in each task first."""
 
@@ -175,11 +263,15 @@ def _expected(words: DataFrame, model: Model) -> DataFrame:
         pieces = Pieces(model.vocabulary)
         sums = np.zeros((len(number), len(pieces) + 1))
         for batch in batches:
-            lattice = Lattices(batch.column("word").to_pylist(), pieces)
-            lang = np.array([number[x] for x in batch.column("lang").to_pylist()])[lattice.owner]
-            count = batch.column("n").to_numpy()[lattice.owner]
-            used = lattice.usage(model.pieces[lattice.piece, lang[lattice.row]].astype(float))
-            np.add.at(sums, (lang[lattice.row], lattice.piece), used * count[lattice.row])
+            langs = np.array([number[x] for x in batch.column("lang").to_pylist()])
+            counts = batch.column("n").to_numpy()
+            short, words, groups = by_length(batch.column("word").to_pylist())
+            if words:
+                lattice, lang, count = Lattices(words, pieces), langs[short], counts[short]
+                used = lattice.usage(model.pieces[lattice.piece, lang[lattice.row]].astype(float))
+                np.add.at(sums, (lang[lattice.row], lattice.piece), used * count[lattice.row])
+            for places, words in groups:
+                LongWords(words, pieces).usage(np.log(model.pieces.astype(float)), langs[places], counts[places], sums)
         lang, piece = np.nonzero(sums)
         yield {"lang": lang, "piece": piece, "n": sums[lang, piece]}
 
@@ -234,11 +326,14 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             out = []
             for k in range(0, len(words), 5_000):
                 part = words[k : k + 5_000]
-                lattice = Lattices(part, pieces)
-                alpha = lattice.forward(model.pieces[lattice.piece].astype(float))
-                total = np.log(np.maximum(alpha[np.arange(len(lattice.length)), lattice.length], 1e-300))
-                sums = np.zeros((len(part), total.shape[1]))
-                np.add.at(sums, lattice.owner, total)
+                short, texts, groups = by_length(part)
+                sums = np.zeros((len(part), len(model.languages)))
+                if texts:
+                    lattice = Lattices(texts, pieces)
+                    alpha = lattice.forward(model.pieces[lattice.piece].astype(float))
+                    sums[short] = np.log(np.maximum(alpha[np.arange(len(texts)), lattice.length], 1e-300))
+                for places, texts in groups:
+                    sums[places] = LongWords(texts, pieces).totals(np.log(model.pieces.astype(float)))
                 out.append(sums)
             return np.concatenate(out)
 
