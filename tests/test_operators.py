@@ -291,3 +291,29 @@ def test_date_side_is_broadcast_at_any_size(spark):
         assert "BroadcastHashJoin" in plan(out) and "SortMergeJoin" not in plan(out)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_hot_codes_are_joined_apart(spark, tmp_path):
+    """Without the adaptive split: a third of the rows has one code, a tenth none, and no task gets them together."""
+    spark.range(300).select(F.col("id").cast("string").alias("A"), F.col("id").alias("AKey"), (F.col("id") * 2).alias("extra")).write.parquet(f"{tmp_path}/dim")
+    code = "CASE WHEN id % 3 = 0 THEN '7' WHEN id % 10 = 1 THEN NULL WHEN id % 50 = 5 THEN 'lost' ELSE CAST(id % 400 AS STRING) END"
+    fact = spark.range(0, 60_000, 1, 6).select("id", F.expr(code).alias("A"))
+    seen = fact.agg(star.hot_metric("A").alias("hot")).first()["hot"]
+    hot = star.hot_codes(seen, 60_000)
+    assert {"7", "lost"} <= set(hot) and star.hot_codes(None, 5) == []
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, value in settings.items():
+            spark.conf.set(k, value)
+        frame = spark.read.parquet(f"{tmp_path}/dim")
+        ref = lambda **k: star.DimRef("a", frame, "A", "A", "AKey", ("extra",), rows=star.BROADCAST_ROWS + 1, **k)
+        plain, apart = star.resolve(fact, [ref()]), star.resolve(fact, [ref(hot=tuple(hot))])
+        assert rows(plain) == rows(apart) and plain.columns == apart.columns
+        text = plan(apart)
+        assert text.count("BroadcastHashJoin") == 1 and text.count("SortMergeJoin") == 1
+        sizes = lambda df: [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes(plain)) > 20_000 and max(sizes(apart)) < 1.5 * 60_000 / 8
+    finally:
+        for k, value in before.items():
+            spark.conf.unset(k) if value is None else spark.conf.set(k, value)
