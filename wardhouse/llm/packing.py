@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import functools
 import heapq
-import itertools
 import os
 import zlib
 from collections import Counter
@@ -30,9 +29,7 @@ CAPACITY, END_ID = 2048, 0
 # Rounds of the solver, each with one dynamic program; step of the weights; how near a proposal must come to the best.
 ROUNDS, STEP, NEAR = 48, 2.0, 0.02
 # Words that a worker keeps, in two generations; words encoded as one text; such texts encoded at once.
-CACHE_WORDS, LEARN_WORDS, LEARN_TEXTS = 400_000, 500, 16
-# Marks of words met once. A false one keeps a rare word, no more.
-MARKS_SIZE = 1 << 21
+CACHE_WORDS, LEARN_WORDS, LEARN_TEXTS = 600_000, 500, 16
 # A string that the tokenizer knows as special, and how tokens that end a word end.
 _SEPARATOR, _WORD_END = b"<|endoftext|>", "</w>"
 # ASCII marks other than those of special strings and the apostrophe, which may begin a token group with letters.
@@ -60,20 +57,19 @@ class WordTokenizer:
         self.separator = self.tokenizer.token_to_id(_SEPARATOR.decode())
         self.cache: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.met, self.marks = bytearray(MARKS_SIZE), 0
 
     def _learn(self, words: list[bytes]) -> None:
         """Letters are one token group, and so are marks behind them: a word of both has the ids of both in turn. Words
         of a-z are encoded as one text without normalising and parted by their end tokens, others by a special string
         between them."""
-        marked = []
-        for w in words:
-            stem = w.rstrip(_MARKS)
-            if stem and len(stem) < len(w) and (stem.isalpha() or stem.decode("utf-8", "replace").isalpha()):
-                marked.append((w, stem, w[len(stem) :]))
-        parts = {part for _, *both in marked for part in both}
+        marked = [
+            (w, stem, w[len(stem) :])
+            for w in words
+            if w[-1] in _MARKS and (stem := w.rstrip(_MARKS)) and (stem.isalpha() or stem.decode("utf-8", "replace").isalpha())
+        ]
+        alone_words = {part for _, *both in marked for part in both}.union(words).difference([w for w, *_ in marked])
         letters, other = [], []
-        for w in parts.union(words).difference([w for w, *_ in marked], self.cache):
+        for w in alone_words.difference(self.cache):
             (letters if w.isalpha() and w.islower() else other).append(w)
         alone = [w for w in other if b"<" in w or b">" in w]
         alone += self._learn_joined(self.plain, letters, b" ", lambda found: self.is_end[found], 1)
@@ -106,35 +102,31 @@ class WordTokenizer:
                 yield np.array(e.ids, "<u4")
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        """Most words of a corpus occur once, so a word is kept when it comes a second time. When half the room is used,
-        what is kept becomes the older generation; from it words that come again move over, and the rest goes."""
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        new = set().union(*split).difference(self.cache)
-        again = new.intersection(self.older)
-        self.cache.update((w, self.older[w]) for w in again)
-        new -= again
-        known = len(self.cache)
-        if new:
-            self._learn(list(new))
-        out = [b"".join(map(self.cache.__getitem__, words)) for words in split]
-        self._forget(known)
+        """One look-up per word. When half the room is used, what is kept becomes the older generation; from it words that
+        come again move over, and the rest goes."""
+        known, out, waiting, gaps = self.cache.get, [], [], []
+        for k, text in enumerate(texts):
+            words = (text if b"<|" in text else text.lower()).split()
+            found = list(map(known, words))
+            try:
+                out.append(b"".join(found))
+            except TypeError:  # a word is not known yet
+                out.append(b"")
+                waiting.append((k, found))
+                gaps += [(found, i, words[i]) for i, ids in enumerate(found) if ids is None]
+        if gaps:
+            new = {w for _, _, w in gaps}
+            again = {w: self.older[w] for w in new if w in self.older}
+            self.cache.update(again)
+            self._learn([w for w in new if w not in again])
+            for found, i, word in gaps:
+                found[i] = known(word)
+            for k, found in waiting:
+                out[k] = b"".join(found)
+            if 2 * len(self.cache) > CACHE_WORDS:
+                self.older, self.cache = self.cache, {}
         return out
 
-    def _forget(self, known: int) -> None:
-        """Drops what was learned beyond the first `known` words and not met before."""
-        met, last = self.met, MARKS_SIZE - 1
-        # The newest entries of a dictionary are its last ones.
-        for word in list(itertools.islice(reversed(self.cache), len(self.cache) - known)):
-            place = hash(word) & last
-            if not met[place]:
-                met[place] = 1
-                self.marks += 1
-                del self.cache[word]
-        if 4 * self.marks > MARKS_SIZE:
-            self.met, self.marks = bytearray(MARKS_SIZE), 0
-        if 2 * len(self.cache) > CACHE_WORDS:
-            self.older, self.cache = self.cache, {}
-
 
 @functools.cache
 def word_tokenizer(path: str) -> WordTokenizer:
