@@ -201,6 +201,9 @@ def test_forecast_stage(spark, tmp_path, monkeypatch):
         pipeline.run(spark, "forecast", day, conf)
         assert layers.read_layer(spark, conf.layer("forecast"), "champions", day).count() == 2
         assert layers.read_layer(spark, conf.layer("forecast"), "predictions", day).count() == 90
+        status = layers.read_layer(spark, conf.layer("forecast"), "status", day).collect()
+        assert {(r.series_id, r.status) for r in status} == {("revenue", "fitted"), ("user_count", "fitted")}
+        assert layers.read_layer(spark, conf.layer("forecast"), "champions", day).where("ar_coef IS NULL").count() == 0
     runs = spark.read.parquet(conf.layer("forecast/runs"))
     assert runs.count() == runs.select("run_id").distinct().count() == 4
     champions = layers.read_layer(spark, conf.layer("forecast"), "champions", "2026-05-11")
