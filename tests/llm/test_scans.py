@@ -224,11 +224,9 @@ def test_recall(spark):
     centers = rng.normal(size=(40, 24))
     vectors = [(i, (centers[i % 40] + 0.3 * rng.normal(size=24)).tolist()) for i in range(6_000)]
     df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(4)
-    ann_shard, ann.SHARD_ROWS = ann.SHARD_ROWS, 2_000
-    try:
-        got, want = found(df), brute(vectors)
-    finally:
-        ann.SHARD_ROWS = ann_shard
+    points = df.select("vec_id", "embedding").toDF("point", "vector")
+    assert ann.index(points, 1_500).select("shard").distinct().count() == 4
+    got, want = found(df, shard_rows=1_500), brute(vectors)
     assert set(got) == set(want)
     hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
     assert hits >= 0.9 * 10 * len(want)

@@ -149,12 +149,15 @@ def index(points: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     return cut(dealt.groupBy("shard").applyInPandas(_index_shard, schema))
 
 
-def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10) -> DataFrame:
+def search(
+    df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, shard_rows: int = SHARD_ROWS
+) -> DataFrame:
     """For each row where `is_query` holds, its k nearest other rows: query_id, rank, the found row's id, score.
 
     Nearness is Euclidean distance in double precision, ties go to the smaller id. Rows of the query's own id are no
     candidates. Null, zero or non-finite vectors and rows with a null id take no part; only vectors of the query's
-    dimension are near it. Equal vectors are one node of the graph; of their ids the k + 1 smallest are kept, since no
+    dimension are near it. A shard holds about `shard_rows` distinct vectors; larger ones mean fewer searches per query, up to
+    what an executor holds. Equal vectors are one node of the graph; of their ids the k + 1 smallest are kept, since no
     other can be among k. A repeated query id with several vectors is searched by the vector that sorts first.
     """
     rows = df.where(usable(df[vector_col]) & df[id_col].isNotNull()).select(
@@ -166,7 +169,7 @@ def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col:
         place = F.row_number().over(Window.partitionBy(*keys).orderBy("id"))
         members = members.withColumn("place", place).where(F.col("place") <= k + 1)
     distinct = cut(members.groupBy("vector").agg(F.array_sort(F.collect_list("id")).alias("ids")).withColumn("point", F.monotonically_increasing_id()))
-    nodes = index(distinct.select("point", "vector"))
+    nodes = index(distinct.select("point", "vector"), shard_rows)
 
     queries = rows.where("asks").groupBy("id").agg(F.min("vector").alias("vector"))
     queries = queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(max(1, -(-queries.count() // QUERY_ROWS)))))
