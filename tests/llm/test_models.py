@@ -191,18 +191,67 @@ def test_thresholds_by_language():
     assert set(got) == {"a"} and 0.6 < got["a"] <= 0.8
 
 
-def test_seating_follows_the_exact_distribution():
-    """Tables of a dish: weight S(c, t) * mass^t with S counted from its recursion in plain numbers."""
-    d, mass, c = 0.4, 0.8, 6
-    s = {(0, 0): 1.0}
+def table_weights(c, d, strength, others, parent):
+    """Chances of 1..c tables: S(c, t), from its recursion in plain numbers, times the weights of t new tables."""
+    s = np.zeros((c + 2, c + 2))
+    s[0, 0] = 1.0
     for n in range(c):
         for t in range(1, n + 2):
-            s[n + 1, t] = s.get((n, t - 1), 0) + (n - t * d) * s.get((n, t), 0)
-    weight = np.array([s[c, t] * mass**t for t in range(1, c + 1)])
-    drawn = lm.seat(np.full(40_000, c), np.full(40_000, mass), d, np.random.default_rng(3))
-    assert np.bincount(drawn, minlength=c + 1)[1:] / 40_000 == pytest.approx(weight / weight.sum(), abs=0.012)
-    many = lm.seat(np.array([0, 1, 500, 10**7]), np.array([1.0, 1.0, 1e-12, 0.5]), 0.5, np.random.default_rng(1))
-    assert many[0] == 0 and many[1] == 1 and many[2] == 1 and 1 <= many[3] < 10**5
+            s[n + 1, t] = s[n, t - 1] + (n - t * d) * s[n, t]
+        s[n + 1] /= max(n, 1)
+    weight, mass = np.zeros(c), 1.0
+    for t in range(1, c + 1):
+        mass *= (strength + d * (others + t - 1)) * parent
+        weight[t - 1] = s[c, t] * mass
+    return weight / weight.sum()
+
+
+@pytest.mark.parametrize("c, strength, others, parent", [
+    (2, 1.0, 5, 0.2), (6, 0.8, 0, 1.0), (6, 10.0, 50, 0.01), (64, 1.0, 3, 0.3), (65, 1.0, 3, 0.3), (120, 10.0, 900, 0.01), (120, 10.0, 40, 1e-4), (150, 1.0, 30, 0.9),
+    (40, 1.0, 10**6, 0.9),
+])
+def test_seating_follows_the_exact_distribution(c, strength, others, parent):
+    want, n = table_weights(c, lm.DISCOUNT, strength, others, parent), 40_000
+    drawn = lm.seat(np.full(n, c), np.full(n, others), np.full(n, parent), strength, np.random.default_rng(3))
+    got = np.bincount(drawn, minlength=c + 1)[1:] / n
+    assert np.abs(got - want).sum() / 2 < 0.02 and drawn.mean() == pytest.approx(want @ np.arange(1, c + 1), rel=0.01)
+
+
+def test_seating_of_very_large_dishes():
+    """One exact way for any number of customers: repeated draws have the mean and spread of the weights around the mode."""
+    few = np.array([0, 1, 500, 10**12])
+    many = lm.seat(few, np.zeros(4), np.array([1.0, 1.0, 1e-300, 1e-6]), 1.0, np.random.default_rng(1))
+    assert many[:3].tolist() == [0, 1, 1] and 1 <= many[3] < 10**5
+    c, others, p, strength = 10**6, 10**4, 1e-2, 10.0
+    t = np.arange(1, 5000, dtype=float)
+    log = np.concatenate([[0], np.log(2 * p * (2 * strength + others + t) * (c - t) / ((2 * c - t - 1) * t)).cumsum()[:-1]])
+    weight = np.exp(log - log.max())
+    mean = weight @ t / weight.sum()
+    spread = math.sqrt(weight @ (t - mean) ** 2 / weight.sum())
+    drawn = lm.seat(np.full(4000, c), np.full(4000, others), np.full(4000, p), strength, np.random.default_rng(2))
+    assert abs(drawn.mean() - mean) < 5 * spread / math.sqrt(4000) and drawn.std() == pytest.approx(spread, rel=0.06)
+
+
+def test_speller_by_plain_loops():
+    """Predictive probabilities from the root down, for contexts whose every dish has one customer (so one table)."""
+    words = [b"ab", b"c"]
+    context, symbol, _ = lm.symbols(words)
+    model = lm.speller(dict(Counter(zip(context.tolist(), symbol.tolist()))), np.random.default_rng(0))
+
+    def chance(rows, depth, below):
+        d, strength = lm.DISCOUNT, lm.BYTE_STRENGTHS[depth]
+        n = sum(rows.values())
+        return [(max(rows.get(s, 0) - (d if s in rows else 0), 0) + (strength + d * len(rows)) * below[s]) / (strength + n) for s in range(lm.SYMBOLS)]
+
+    a, b, c = b"abc"
+    root, d, strength = model.values[0], lm.DISCOUNT, lm.BYTE_STRENGTHS[0]
+    # Without context the end has two customers, at one table or two.
+    uniform = 1 / lm.SYMBOLS
+    either = [(2 * (s == lm.END) + (s in (a, b, c)) - d * (t * (s == lm.END) + (s in (a, b, c))) + (strength + d * (3 + t)) * uniform) / (strength + 5) for t in (1, 2) for s in range(lm.SYMBOLS)]
+    assert any(np.allclose(root, either[k * lm.SYMBOLS : (k + 1) * lm.SYMBOLS]) for k in (0, 1))
+    one = chance({lm.END: 1}, 1, root.tolist())
+    assert model.values[model.rows[-1 - b]] == pytest.approx(np.array(one))
+    assert model.values[model.rows[a * lm.SYMBOLS + b]] == pytest.approx(np.array(chance({lm.END: 1}, 2, one)))
 
 
 def test_speller_is_a_distribution():
