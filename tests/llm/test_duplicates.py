@@ -5,8 +5,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from wardhouse.llm import exact_dedup, simhash
+from wardhouse.llm.common import join_counted
 from wardhouse.llm.components import components
 
 
@@ -144,6 +146,17 @@ def test_links_are_all_close_pairs(spark):
     assert got == want and len(want) > 50
 
 
+def test_hot_keys_do_not_pass_the_shuffle(spark):
+    """A third of the rows have one key, 3,000 keys have one row each; every row is found, hot ones by broadcast."""
+    left = spark.range(6_000).select(F.when(F.col("id") < 2_000, 0).when(F.col("id") < 3_000, 1 + F.col("id") % 5).otherwise(F.col("id")).alias("k"), "id")
+    right = left.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"))
+    joined = join_counted(left, right, ["k"], "n", 6_000)
+    got = joined.select("k", "id", "n", "least").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, left.join(right, "k").select("k", "id", "n", "least").collect()))
+    assert joined.where("n * 1000 >= 6000").count() == 3_000
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_components_of_a_chain_a_star_and_none(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5000, 5001)]
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

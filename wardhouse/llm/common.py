@@ -15,6 +15,9 @@ from wardhouse.session import scratch_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+# So many keys may be called hot and be broadcast (`join_counted`).
+HOT_KEYS = 1000
+
 # ASCII other than letters and digits separates words; A-Z are lowered.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -67,6 +70,18 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def join_counted(left: DataFrame, right: DataFrame, keys: list[str], size: str, rows: int) -> DataFrame:
+    """Inner join with `right`, which has one row per key and in column `size` the number of the key's rows in `left`.
+
+    Keys with a share of 1 / HOT_KEYS or more of all `rows` are at most HOT_KEYS many, so they are met by broadcast; the
+    other keys go through the shuffle, and none of them is more than that share of it.
+    """
+    hot = F.col(size) * HOT_KEYS >= rows
+    met = left.join(F.broadcast(right.where(hot)), keys, "left")
+    rare = met.where(F.col(size).isNull()).select(*left.columns).join(right.where(~hot), keys)
+    return met.where(F.col(size).isNotNull()).unionByName(rare)
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that `df` does not have."""
     taken = {c.lower() for c in df.columns}

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardhouse.llm.common import cut
+from wardhouse.llm.common import cut, join_counted
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is tied to the least of the node and its neighbours."""
+def _large_star(edges: DataFrame, rows: int) -> DataFrame:
+    """Every larger neighbour of a node is tied to the least of the node and its neighbours. `rows`: the edges."""
     both = edges.union(edges.select("b", "a")).toDF("node", "other")
-    least = both.groupBy("node").agg(F.min("other").alias("least"))
-    least = least.select("node", F.least("node", "least").alias("least"))
-    return both.join(least, "node").where("other > node").select(F.col("least").alias("a"), F.col("other").alias("b")).distinct()
+    least = both.groupBy("node").agg(F.min("other").alias("least"), F.count(F.lit(1)).alias("degree"))
+    least = least.select("node", F.least("node", "least").alias("least"), "degree")
+    tied = join_counted(both, least, ["node"], "degree", 2 * rows)
+    return tied.where("other > node").select(F.col("least").alias("a"), F.col("other").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -33,7 +34,7 @@ def components(edges: DataFrame) -> DataFrame:
     current = cut(edges.select("a", "b"))
     before = state(current)
     while before[0]:
-        current = cut(_small_star(_large_star(current)))
+        current = cut(_small_star(_large_star(current, before[0])))
         after = state(current)
         if after == before:
             break

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardhouse.llm.common import ascii_lower, cut, free_name
+from wardhouse.llm.common import ascii_lower, cut, free_name, join_counted
 
 BLOCK_BYTES = 1024
 # Names are ranks within a hash bucket, with the bucket above them, so that no sort needs all rows in one task.
@@ -100,7 +100,7 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     groups = members.groupBy("level", "name").agg(
         F.max(F.struct("id", "row")).alias("best"), F.count(F.lit(1)).alias("group_size")
     )
-    return members.join(groups, ["level", "name"]).select(
+    return join_counted(members, groups, ["level", "name"], "group_size", members.count()).select(
         F.col("id").alias(id_col),
         F.col("best.id").alias("keep_id"),
         "group_size",
