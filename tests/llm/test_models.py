@@ -289,3 +289,36 @@ def test_model_chunks_do_not_matter(spark, edge_docs, no_docs, monkeypatch):
     assert len(rows) == edge_docs.count() and all(math.isfinite(r["score"]) and r["score"] <= 0 for r in rows)
     assert lm.score(no_docs, no_docs["doc_id"] == 1).count() == 0
     assert all(r["n_known"] == 0 for r in lm.score(edge_docs, edge_docs["row"] >= 0).collect())
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """No row is left out by a sample: a word that one row alone of very many has still moves the score, over shards too."""
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 2_000)
+    seen = spark.range(12_000).select("id", F.lit("en").alias("lang"), (F.col("id") % 3 == 0).cast("int").alias("toxic"), F.concat(
+        F.when(F.col("id") % 3 == 0, F.concat(F.lit("bad ugly vile w"), "id")).otherwise(F.concat(F.lit("good fine kind w"), "id"))).alias("text"))
+    before = toxicity.fresh()
+    model = toxicity.fit(seen)
+    h = seen.select("text", F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("toxic")), F.lit(5)).alias("h")).toPandas()
+    rows = toxicity.rows_of([t.split()[-1].encode() for t in h.text[h.h < 4]])
+    moved = (model.net.table != before.table.astype(np.float32)).any(axis=1)
+    assert len(rows) > 9_000 and moved[rows[:, :2]].any(axis=1).mean() > 0.95
+    again = toxicity.fit(seen.repartition(7))
+    assert (again.net.table == model.net.table).all() and again.net.shift == model.net.shift and again.thresholds == model.thresholds
+    scored = toxicity.score(seen.withColumnRenamed("id", "doc_id"), model).toPandas()
+    assert (scored.flagged == (scored.doc_id % 3 == 0)).mean() > 0.99
+
+
+def test_toxicity_trains_long_texts_by_segments(monkeypatch):
+    rng = random.Random(5)
+    texts = [toxicity.rows_of([rng.choice([b"alpha", b"beta", b"gamma", b"delta"]) + bytes([rng.randrange(97, 123)]) for _ in range(n)]) for n in (1, 9, 40, 90)]
+    whole = toxicity.train(texts, np.array([0, 1, 0, 1.0]))
+    monkeypatch.setattr(toxicity, "SEGMENT_WORDS", 7)
+    parts = toxicity.train(texts, np.array([0, 1, 0, 1.0]))
+    assert np.allclose(whole.table, parts.table) and np.allclose(whole.out, parts.out)
+
+
+def test_thresholds_by_counts():
+    scores, labels = np.array([0.9, 0.8, 0.6, 0.6, 0.2, 0.2]), np.array([1, 1, 0, 0, 0, 1])
+    counted = toxicity.thresholds(["a"] * 4, np.array([0.9, 0.8, 0.6, 0.2]), np.array([1, 1, 0, 0]), np.array([3, 1, 2, 5]))
+    spelled = toxicity.thresholds(["a"] * 11, np.repeat([0.9, 0.8, 0.6, 0.2], [3, 1, 2, 5]), np.repeat([1, 1, 0, 0], [3, 1, 2, 5]))
+    assert counted == spelled and set(toxicity.thresholds(["b"] * 6, scores, labels)) == {"b"}
