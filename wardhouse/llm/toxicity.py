@@ -205,7 +205,8 @@ def train_shards(rows: DataFrame, shards: int, weights: tuple[float, float], epo
                 yield moves()
 
         turn = dealt.withColumn("turn", F.xxhash64("h", F.lit(epoch)))
-        placed = turn.repartition(shards, "shard").sortWithinPartitions("shard", "turn", "text", "toxic")
+        # More ranges than shards: bounds fall between all shards, while hashes would put several into one task.
+        placed = turn.repartitionByRange(4 * shards, "shard").sortWithinPartitions("shard", "turn", "text", "toxic")
         found = arrow_flow(placed.select("shard", "text", "toxic"), flow, schema)
         sums = found.groupBy("row").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in columns]).toArrow()
         at, n = sums.column("row").to_numpy(), sums.column("n").to_numpy()
