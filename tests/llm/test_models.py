@@ -322,3 +322,42 @@ def test_thresholds_by_counts():
     counted = toxicity.thresholds(["a"] * 4, np.array([0.9, 0.8, 0.6, 0.2]), np.array([1, 1, 0, 0]), np.array([3, 1, 2, 5]))
     spelled = toxicity.thresholds(["a"] * 11, np.repeat([0.9, 0.8, 0.6, 0.2], [3, 1, 2, 5]), np.repeat([1, 1, 0, 0], [3, 1, 2, 5]))
     assert counted == spelled and set(toxicity.thresholds(["b"] * 6, scores, labels)) == {"b"}
+
+
+def test_model_scores_words_by_the_word_before(spark):
+    """Where every dish has one customer nothing is drawn by chance: the whole score against plain numbers."""
+    docs = spark.createDataFrame([(0, "A b"), (1, "a b"), (2, "b a"), (3, "a new b")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in lm.score(docs, docs["doc_id"] > 0).collect()}
+    words = [b"", b"a", b"b"]
+    context, symbol, _ = lm.symbols(words)
+    trigrams = dict(Counter(zip(context.tolist(), symbol.tolist())))
+    d, inner, outer = lm.DISCOUNT, lm.CONTEXT_STRENGTH, lm.WORD_STRENGTH
+    draws = range(lm.BURN_IN, lm.SWEEPS)
+    spelled = [np.exp(lm.speller(trigrams, np.random.default_rng(1_000 + k)).log_probability(words)) for k in draws]
+    alone = [dict(zip(words, (1 - d + (outer + 3 * d) * s) / (outer + 3))) | {None: (outer + 3 * d) * (1 - s.sum()) / (outer + 3)} for s in spelled]
+    pairs = {(b"", b"a"), (b"a", b"b"), (b"b", b"")}
+
+    def chance(u, w):
+        if u is None:
+            return sum(p[w] for p in alone) / len(alone)
+        return sum((((u, w) in pairs) * (1 - d) + (inner + d) * p[w]) / (inner + 1) for p in alone) / len(alone)
+
+    for doc, text in [(1, [b"a", b"b"]), (2, [b"b", b"a"]), (3, [b"a", None, b"b"])]:
+        want = sum(math.log10(chance(u, w)) for u, w in zip([b"", *text], [*text, b""]))
+        assert got[doc]["score"] == pytest.approx(want, rel=1e-5)
+    assert got[0]["score"] == got[1]["score"] > got[2]["score"]
+
+
+def test_model_prefers_texts_in_order(spark, monkeypatch):
+    """Shuffled words score lower, and chunks and parts do not change the counts."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    turned = docs.select((-1 - F.col("doc_id")).alias("doc_id"), F.expr("concat_ws(' ', reverse(split(lower(text), '[ \\t\\n\\r]+')))").alias("text"))
+    both = docs.union(turned)
+    held = (F.col("doc_id") < 0) | (fold(both["doc_id"], 5) == 1)
+    got = {r["doc_id"]: r for r in lm.score(both, held).collect()}
+    gains = [got[i]["score"] - got[-1 - i]["score"] for i in got if i >= 0 and got[i]["held_out"]]
+    assert np.mean(gains) > 0 and np.mean(np.array(gains) > 0) > 0.6
+    monkeypatch.setattr(lm, "PART_BYTES", 100_000)
+    parts = {r["doc_id"]: r for r in lm.score(both, held).collect()}
+    assert all(parts[i]["n_known"] == r["n_known"] and parts[i]["base_score"] == pytest.approx(r["base_score"]) for i, r in got.items())
+    assert sum(r["score"] for r in parts.values()) == pytest.approx(sum(r["score"] for r in got.values()), rel=5e-3)

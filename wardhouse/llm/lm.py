@@ -1,27 +1,33 @@
 """Language model scores by a hierarchical Pitman-Yor process.
 
-A restaurant over words serves the tokens of the training texts. A new table draws its word from the parent, a model that
-spells words byte by byte: restaurants for the two bytes before, their parents for the one byte before, theirs without
+For every word of the training texts a restaurant serves the words that follow it; the end of a text is a word too, and the
+one before a text's first. A new table draws its word from the restaurant without context, and that one's new tables from
+a model that spells words byte by byte: restaurants for the two bytes before, their parents for the one byte before, theirs without
 context, and below all a uniform choice. Gibbs sweeps draw, for every dish of every restaurant, its number of tables given
 all the others, as the sweep before left them; tables of a restaurant are the customers of its parent. Predictive
 probabilities are averaged over the sweeps after the first ones.
 
-Word counts never meet in one place. Documents are reduced once, in their tasks, to numbers into the vocabulary of their
-chunk (a bounded part of a task's texts); the vocabularies are joined with the words' values and meet their documents again.
+Word and pair counts never meet in one place. Documents are reduced once, in their tasks, to numbers into the vocabulary of
+their chunk (a bounded part of a task's texts). A chunk's words, and later its pairs of words, go to parts by their hash, one
+compressed packet per chunk and part; a part numbers and counts them, and values return by the same packets, in their order.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Iterator
+import zlib
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from wardhouse.llm.common import arrow_flow, cut, text_bytes
 
@@ -29,9 +35,11 @@ from wardhouse.llm.common import arrow_flow, cut, text_bytes
 SWEEPS, BURN_IN = 3, 1
 # The discount of every restaurant; `seat` is made for a half.
 DISCOUNT = 0.5
-WORD_STRENGTH = 10.0
+CONTEXT_STRENGTH, WORD_STRENGTH = 1.0, 10.0
 BYTE_STRENGTHS = (1.0, 1.0, 1.0)
 CHUNK_BYTES = 16 << 20
+# A part of words or pairs has as many of them as so much text, however large the table.
+PART_BYTES = 16 << 20
 # Weights whose logarithm is this far below the largest one's do not change a sum in doubles.
 LOST = -45.0
 SPELLER_ROUNDS = 3
@@ -177,66 +185,204 @@ def speller(trigrams: dict[tuple[int, int], int], rng: np.random.Generator, roun
     return Speller(rows, values)
 
 
-def packed(number: list[int], times: list[int]) -> tuple[bytes, bytes]:
-    """Numbers in three bytes each (a chunk has fewer words than bytes), times in one byte each if they all fit."""
-    low = np.array(number, "<u4").view(np.uint8).reshape(-1, 4)[:, :3]
-    return low.tobytes(), np.array(times, np.uint8 if max(times) < 256 else "<u4").tobytes()
+def squeezed(values: np.ndarray) -> bytes:
+    """Bytes of equal rank beside each other, compressed: high ones are mostly alike."""
+    return pa.compress(values.view(np.uint8).reshape(len(values), -1).T.tobytes(), codec="zstd", asbytes=True)
 
 
-def unpacked(number: bytes, times: bytes) -> tuple[np.ndarray, np.ndarray]:
-    low = np.frombuffer(number, np.uint8).reshape(-1, 3).astype(np.int64)
-    return low @ np.array([1, 256, 65536]), np.frombuffer(times, np.uint8 if 3 * len(times) == len(number) else "<u4").astype(np.int64)
+def restored(body: bytes, size: int, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    flat = pa.decompress(body, decompressed_size=size * width, codec="zstd", asbytes=True)
+    return np.frombuffer(flat, np.uint8).reshape(width, size).T.copy().view(kind).ravel()
 
 
-def _reduce(source: DataFrame, kind: str) -> DataFrame:
-    """Documents as numbers into their chunk's vocabulary, and the vocabularies; one pass, written by the caller.
+def all_restored(table: pa.Table, column: str, kind: type) -> np.ndarray:
+    rows = zip(table.column(column).to_pylist(), table.column("size").to_pylist())
+    return np.concatenate([np.empty(0, kind), *[restored(body, size, kind) for body, size in rows]])
 
-    A row with `number` >= 0 is a word of its chunk with its training tokens; other rows are documents.
+
+def dealt(part: np.ndarray, parts: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order by part, and (part, from, to) of those that have any."""
+    order = np.argsort(part, kind="stable")
+    bounds = np.searchsorted(part[order], np.arange(parts + 1)).tolist()
+    return order, [(k, a, b) for k, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
+
+
+def rows_like(schema: pa.Schema, columns: dict) -> pa.Table:
+    """Rows with the given columns, the others null."""
+    n = len(next(iter(columns.values())))
+    return pa.table([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
+
+
+def token_width(words: int) -> int:
+    """Bytes of a number into a chunk's vocabulary."""
+    return max(1, -(-words.bit_length() // 8))
+
+
+def _reduce(source: DataFrame, kind: str, parts: int) -> DataFrame:
+    """Documents as numbers into their chunk's vocabulary, in order, and the vocabularies; one pass, written by the caller.
+
+    A row with a `part` is a packet of `size` words of its chunk, with their training tokens; other rows are documents.
+    Numbers follow the packets in order of part. The last token of a document is its end, the empty word.
     """
 
     def flow(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        part, turn = TaskContext.get().partitionId(), 0
-        names = ("chunk", "number", "word", "n", "id", "held_out", "tokens", "times")
-        vocabulary: dict[bytes, int] = {}
+        task, turn, held = TaskContext.get().partitionId(), 0, 0
+        names = ("chunk", "part", "size", "room", "words", "n", "id", "held_out", "tokens")
+        numbers: defaultdict[bytes, int] = defaultdict()
+        numbers.default_factory = numbers.__len__
         docs: list = []
-        train: Counter = Counter()
-        held = 0
 
         def rows() -> dict:
-            nonlocal held, turn
-            chunk = part << 24 | turn
-            turn += 1
-            out = [(chunk, k, w, train[w], None, None, None, None) for w, k in vocabulary.items()]
-            out += [(chunk, -1, None, None, *d) for d in docs]
-            vocabulary.clear()
-            docs.clear()
-            train.clear()
-            held = 0
+            chunk, words = task << 24 | turn, list(numbers)
+            order, ranges = dealt(np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % parts, parts)
+            place = np.empty(len(words), np.uint32)
+            place[order] = np.arange(len(words))
+            n = np.bincount(np.concatenate([np.empty(0, np.uint32), *[seq for _, out, seq in docs if not out]]), minlength=len(words))
+            out = []
+            for part, a, b in ranges:
+                body = b" ".join([words[k] for k in order[a:b].tolist()])
+                out.append((chunk, part, b - a, len(body), pa.compress(body, codec="zstd", asbytes=True), squeezed(n[order[a:b]]), None, None, None))
+            width = token_width(len(words))
+            for doc, held_out, seq in docs:
+                tokens = place[seq].view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
+                out.append((chunk, None, None, None, None, None, doc, held_out, tokens))
             return dict(zip(names, zip(*out)))
 
         for batch in batches:
             columns = (batch.column(c).to_pylist() for c in ("id", "held_out", "text"))
             for doc, out, text in zip(*columns):
-                counts = Counter(text.lower().split())
-                # The end of the text is the empty word.
-                counts[b""] = 1
-                if not out:
-                    train.update(counts)
-                number = [vocabulary.setdefault(w, len(vocabulary)) for w in counts]
-                docs.append((doc, out, *packed(number, list(counts.values()))))
+                words = text.lower().split()
+                words.append(b"")
+                docs.append((doc, out, np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words))))
                 held += len(text)
                 if held > CHUNK_BYTES:
                     yield rows()
+                    turn, held = turn + 1, 0
+                    numbers.clear()
+                    docs.clear()
         if docs:
             yield rows()
 
-    schema = f"chunk long, number int, word binary, n long, id {kind}, held_out boolean, tokens binary, times binary"
+    schema = f"chunk long, part int, size long, room long, words binary, n binary, id {kind}, held_out boolean, tokens binary"
     return arrow_flow(source, flow, schema)
 
 
-def _log_mean(logs: list[np.ndarray]) -> np.ndarray:
-    top = np.max(logs, axis=0)
-    return top + np.log(np.mean([np.exp(x - top) for x in logs], axis=0))
+def _grouped(df: DataFrame, key: str, schema: str, run: Callable[[pa.Table, Callable], list[pa.Table]]) -> DataFrame:
+    """`run` gets a group's packets in order of chunk, and a function that makes rows of the schema from some columns."""
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def of_group(table: pa.Table) -> pa.Table:
+        return pa.concat_tables(run(table.sort_by("chunk"), lambda **columns: rows_like(arrow, columns)))
+
+    return df.groupBy(key).applyInArrow(of_group, schema)
+
+
+def _word_parts(packets: DataFrame) -> DataFrame:
+    """Training words with `id` and count, and their chunks' packets of codes: -1 for a word that training has not, otherwise
+    the low half of its id, which has the part in the high half. An odd id is that of a word met once."""
+
+    def run(table: pa.Table, rows: Callable) -> list[pa.Table]:
+        part = table.column("part")[0].as_py()
+        numbers: defaultdict[bytes, int] = defaultdict()
+        numbers.default_factory = numbers.__len__
+        met = []
+        for body, room in zip(table.column("words").to_pylist(), table.column("room").to_pylist()):
+            words = pa.decompress(body, decompressed_size=room, codec="zstd", asbytes=True).split(b" ")
+            met.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
+        c = np.zeros(len(numbers), np.int64)
+        np.add.at(c, np.concatenate(met), all_restored(table, "n", np.int64))
+        code = np.where(c > 0, np.arange(len(c)) << 1 | (c == 1), -1).astype(np.int32)
+        known = np.flatnonzero(c)
+        words = list(numbers)
+        return [
+            rows(id=part << 32 | code[known].astype(np.int64), word=[words[k] for k in known.tolist()], c=c[known]),
+            rows(chunk=table.column("chunk").to_numpy(), part=table.column("part").to_numpy(), size=table.column("size").to_numpy(), codes=[squeezed(code[m]) for m in met]),
+        ]
+
+    return _grouped(packets, "part", "id long, word binary, c long, chunk long, part int, size long, codes binary", run)
+
+
+def ids_of(packets: pa.Table) -> np.ndarray:
+    """The ids of a chunk's words by number, from its packets in order of part; -1 for words that training has not."""
+    code = all_restored(packets, "codes", np.int32).astype(np.int64)
+    part = np.repeat(packets.column("part").to_numpy().astype(np.int64), packets.column("size").to_numpy())
+    return np.where(code >= 0, part << 32 | code, -1)
+
+
+def tokens_of(documents: pa.Table, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all tokens of the documents in turn, and how many each document has."""
+    width, bodies = token_width(words), documents.column("tokens").to_pylist()
+    number = np.zeros((sum(map(len, bodies)) // width, 4), np.uint8)
+    number[:, :width] = np.frombuffer(b"".join(bodies), np.uint8).reshape(-1, width)
+    return number.view(np.uint32).ravel().astype(np.int64), np.array([len(b) // width for b in bodies], np.int64)
+
+
+@dataclass
+class Pairs:
+    """The distinct pairs of words that follow each other in a chunk; `dealt` are those of training words, by part."""
+
+    number: np.ndarray  # by token, that of its pair
+    before: np.ndarray  # by token, the number of the word before
+    u: np.ndarray  # by dealt pair, the ids of its words
+    w: np.ndarray
+    dealt: np.ndarray  # by dealt pair, its number
+    ranges: list[tuple[int, int, int]]
+
+
+def pairs_of(token: np.ndarray, ids: np.ndarray, parts: int) -> Pairs:
+    # Documents end with the end, so the end is also what comes before the first word of the next one.
+    before = np.concatenate([token[-1:], token[:-1]])
+    keys, number = np.unique(before * len(ids) + token, return_inverse=True)
+    u, w = ids[keys // len(ids)], ids[keys % len(ids)]
+    known = np.flatnonzero((u >= 0) & (w >= 0))
+    u, w = u[known], w[known]
+    mixed = u.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + w.astype(np.uint64)
+    mixed = (mixed ^ mixed >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+    order, ranges = dealt(((mixed >> np.uint64(32)) % np.uint64(parts)).astype(np.int64), parts)
+    return Pairs(number, before, u[order], w[order], known[order], ranges)
+
+
+def _chunk_pairs(documents: DataFrame, packets: DataFrame, parts: int) -> DataFrame:
+    """Packets of the chunks' pairs of training words with their training tokens, by part."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids = ids_of(right.sort_by("part"))
+        token, length = tokens_of(left, len(ids))
+        pairs = pairs_of(token, ids, parts)
+        train = np.repeat(~left.column("held_out").to_numpy(zero_copy_only=False), length)
+        n = np.bincount(pairs.number[train], minlength=pairs.number.max() + 1)[pairs.dealt]
+        out = [(left.column("chunk")[0].as_py(), k, b - a, *[squeezed(x[a:b]) for x in (pairs.u, pairs.w, n)]) for k, a, b in pairs.ranges]
+        return pa.table(dict(zip(arrow.names, zip(*out))), schema=arrow) if out else arrow.empty_table()
+
+    schema = "chunk long, part int, size long, u binary, w binary, n binary"
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
+    return documents.groupBy("chunk").cogroup(packets.groupBy("chunk")).applyInArrow(run, schema)
+
+
+def _pair_parts(packets: DataFrame) -> DataFrame:
+    """Pairs met twice or more (`part`, `place`, `u`, `w`, `c`), and the packets of codes: -2 for a pair that training has
+    not, -1 for one met once, else its place."""
+
+    def run(table: pa.Table, rows: Callable) -> list[pa.Table]:
+        part, size = table.column("part")[0].as_py(), table.column("size").to_numpy()
+        u, w, n = (all_restored(table, c, np.int64) for c in ("u", "w", "n"))
+        order = np.lexsort((w, u))
+        u, w = u[order], w[order]
+        first = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (w[1:] != w[:-1])]))
+        c, u, w = np.add.reduceat(n[order], first), u[first], w[first]
+        code = np.where(c > 0, -1, -2).astype(np.int32)
+        many = np.flatnonzero(c > 1)
+        code[many] = np.arange(len(many))
+        codes = np.empty(len(order), np.int32)
+        codes[order] = np.repeat(code, np.diff(np.append(first, len(order))))
+        return [
+            rows(part=np.full(len(many), part, np.int32), place=np.arange(len(many), dtype=np.int32), u=u[many], w=w[many], c=c[many]),
+            rows(chunk=table.column("chunk").to_numpy(), part=table.column("part").to_numpy(), size=size, codes=[squeezed(x) for x in np.split(codes, np.cumsum(size)[:-1])]),
+        ]
+
+    schema = "part int, place int, u long, w long, c long, chunk long, size long, codes binary"
+    return _grouped(packets, "part", schema, run)
 
 
 def score(
@@ -245,59 +391,132 @@ def score(
     """One row per row of `df`: id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     The model learns from the rows that are not held out. Tokens are words between ASCII white space, with A-Z lowered,
-    and one end; so null and empty texts have one token. `score` is the model's log10 probability of the whole text,
-    `base_score` that of unigrams with half a count added. In both, words that training has not are one class, "some new
+    and one end; so null and empty texts have one token. `score` is the model's log10 probability of the whole text, each word
+    given the one before, `base_score` that of unigrams with half a count added. In both, words that training has not are one class, "some new
     word": the model's chance of a new table times the chance that the speller spells none of the known words. Without
     training rows counts are zero and every token is of that class. Ids may be null or repeated; other columns are ignored; no rows give no rows.
     """
+    kind = df.schema[id_col].dataType.simpleString()
     source = df.select(df[id_col].alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), text_bytes(df, text_col).alias("text"))
-    met = cut(_reduce(source, df.schema[id_col].dataType.simpleString()))
-    vocabulary = met.where("number >= 0").select("chunk", "number", "word", "n")
-    words = cut(vocabulary.groupBy("word").agg(F.sum("n").alias("c")))
-    tokens, distinct = words.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    parts = 1 + (source.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PART_BYTES
+    met = cut(_reduce(source, kind, parts))
+    documents = met.where("part is null").select("chunk", "id", "held_out", "tokens")
+    words = cut(_word_parts(met.where("part is not null").select("chunk", "part", "size", "room", "words", "n")))
+    word_packets = words.where("chunk is not null").select("chunk", "part", "size", "codes")
+    followed = cut(_pair_parts(_chunk_pairs(documents, word_packets, parts)))
+
+    # Before the first sweep every dish has one table. Dishes with one customer keep it, so only the pairs met twice or more
+    # are seated.
+    zero = F.lit(0).cast("long")
+    state = words.where("id is not null").select(
+        "id", "word", "c", F.lit(1).cast("long").alias("t"), F.array().cast("array<float>").alias("p"), F.array().cast("array<long>").alias("rooms")
+    )
+    tokens, distinct = state.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    pairs = followed.where("u is not null").select("part", "place", "u", "w", "c", F.lit(1).cast("long").alias("t"), zero.alias("sum"))
 
     # A sweep: spelled symbols of all tables are summed (no more than triples of symbols), the speller is drawn, then each
-    # word's tables. Tables and probabilities are columns of a written table; the restaurant's total goes to the next.
-    # Before the first sweep every word has one table.
-    state, total = words.select("word", "c", F.when(F.col("c") > 0, 1).otherwise(0).cast("long").alias("t"), F.array().cast("array<double>").alias("logs")), distinct
-    unknown = []
+    # word's tables, then each pair's.
+    total, unknown = distinct, []
     for sweep in range(sweeps):
         trigrams = {(r["context"], r["symbol"]): r["n"] for r in _spelled(state).toArrow().to_pylist()}
         model = speller(trigrams, np.random.default_rng(1_000 + sweep))
-        state = cut(_sweep(state, model, tokens, total, sweep, sweep >= burn_in))
-        total, met_mass = state.where("c > 0").agg(F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum("spelled"), F.lit(0.0))).first()
+        customers = tokens - pairs.agg(F.coalesce(F.sum(F.col("c") - F.col("t")), F.lit(0))).first()[0]
+        state = cut(_sweep(_served(state, pairs), model, customers, total, sweep, sweep >= burn_in))
+        total, met_mass = state.agg(F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum("spelled"), F.lit(0.0))).first()
+        rooms = state.where("id % 2 = 0").select(F.col("id").alias("u"), "opened")
+        parents = state.where("id % 2 = 0").select(F.col("id").alias("w"), "now")
+        pairs = cut(_seat_pairs(pairs.join(rooms, "u").join(parents, "w"), sweep, sweep >= burn_in))
         if sweep >= burn_in:
-            unknown.append((WORD_STRENGTH + DISCOUNT * total) * max(1 - met_mass, 1e-9) / (WORD_STRENGTH + tokens))
-    unknown_log = math.log(sum(unknown) / len(unknown))
+            unknown.append((WORD_STRENGTH + DISCOUNT * total) * max(1 - met_mass, 1e-9) / (WORD_STRENGTH + customers))
+    state = _served(state, pairs).withColumn("rooms", F.concat("rooms", F.array("opened")))
+
+    word_values = _word_values(word_packets, state.select(F.shiftright("id", 32).cast("int").alias("home"), "id", "c", "p", "rooms"), sweeps - burn_in, unknown)
+    codes = followed.where("chunk is not null").select("chunk", "part", "size", "codes")
+    pair_values = _pair_values(codes, pairs.select(F.col("part").alias("home"), "place", (F.col("c") - F.col("sum") * (DISCOUNT / (sweeps - burn_in))).alias("value")))
+    out = _scored(documents, word_values.unionByName(pair_values, allowMissingColumns=True), kind, parts, tokens, tokens + 0.5 * (distinct + 1), sweeps - burn_in)
+    return out.withColumnRenamed("id", id_col)
+
+
+def _served(state: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The words with the tables `opened` in their restaurants, and their `customers` without context: the tables that
+    serve them. Every training token of a word comes after one word and before one, so both are the word's tokens less
+    those of its pairs that share a table with others. Words met once (odd ids) have no such pairs."""
+    shared = F.col("c") - F.col("t")
+    zero = F.lit(0).cast("long")
+    by_word = pairs.select(F.col("u").alias("id"), shared.alias("as_room"), zero.alias("as_dish")).union(pairs.select("w", zero, shared))
+    by_word = by_word.groupBy("id").agg(F.sum("as_room").alias("as_room"), F.sum("as_dish").alias("as_dish"))
+    state = state.select("id", "word", "c", "t", "p", "rooms")
+    many = state.where("id % 2 = 0").join(by_word, "id", "left")
+    many = many.select(*state.columns, (F.col("c") - F.coalesce("as_room", zero)).alias("opened"), (F.col("c") - F.coalesce("as_dish", zero)).alias("customers"))
+    return many.unionByName(state.where("id % 2 = 1").select("*", F.col("c").alias("opened"), F.col("c").alias("customers")))
+
+
+def _word_values(packets: DataFrame, state: DataFrame, draws: int, unknown: list[float]) -> DataFrame:
+    """The packets of words with their values beside the codes: training tokens, by draw the tables of their restaurant and
+    their chance without context. Words that training has not have none, and share the chance `unknown`."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        at = (right.column("id").to_numpy() & 0xFFFFFFFF) >> 1
+        # The last row is that of words that training has not.
+        n = 1 + int(at.max(initial=-1)) + 1
+        whole, chance = np.zeros((n, 1 + draws), np.int64), np.zeros((n, draws), np.float32)
+        whole[at, 0], chance[-1] = right.column("c").to_numpy(), unknown
+        if len(at):
+            whole[at, 1:] = right.column("rooms").combine_chunks().flatten().to_numpy().reshape(-1, draws)
+            chance[at] = right.column("p").combine_chunks().flatten().to_numpy().reshape(-1, draws)
+        out = []
+        for chunk, part, size, codes in zip(*(left.column(c).to_pylist() for c in ("chunk", "part", "size", "codes"))):
+            code = restored(codes, size, np.int32)
+            place = np.where(code >= 0, code >> 1, n - 1)
+            out.append((chunk, part, size, codes, squeezed(whole[place].ravel()), squeezed(chance[place].ravel())))
+        return pa.table(dict(zip(arrow.names, zip(*out))), schema=arrow) if out else arrow.empty_table()
+
+    schema = "chunk long, part int, size long, codes binary, whole binary, chance binary"
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
+    return packets.groupBy("part").cogroup(state.groupBy("home")).applyInArrow(run, schema)
+
+
+def _pair_values(packets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The packets of pairs with the customers less the discount for their tables, averaged over the draws."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        # The last rows are those of the codes -2 and -1: pairs that training has not, and those met once.
+        value = np.concatenate([np.zeros(right.num_rows), [0.0, 1 - DISCOUNT]])
+        value[right.column("place").to_numpy()] = right.column("value").to_numpy()
+        out = []
+        for chunk, part, size, codes in zip(*(left.column(c).to_pylist() for c in ("chunk", "part", "size", "codes"))):
+            out.append((chunk, part, size, squeezed(value[restored(codes, size, np.int32)])))
+        return pa.table(dict(zip(arrow.names, zip(*out))), schema=arrow) if out else arrow.empty_table()
+
+    schema = "chunk long, part int, size long, pairs binary"
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
+    return packets.groupBy("part").cogroup(pairs.groupBy("home")).applyInArrow(run, schema)
 
-    low = tokens + 0.5 * (distinct + 1)
-    log = F.when(F.col("c") > 0, F.element_at("logs", -1)).otherwise(F.lit(unknown_log))
-    values = state.select("word", "c", log.cast("float").alias("log"))
-    placed = vocabulary.select("chunk", "number", "word").join(values, "word").select(F.col("chunk").alias("home"), "number", "c", "log")
-    documents = met.where("number < 0").select("chunk", "id", "held_out", "tokens", "times")
 
+def _scored(documents: DataFrame, packets: DataFrame, kind: str, parts: int, tokens: int, low: float, draws: int) -> DataFrame:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        n = right.num_rows
-        by_number = np.zeros((n, 3))
-        at = right.column("number").to_numpy()
-        c = right.column("c").to_numpy()
-        by_number[at, 0], by_number[at, 1], by_number[at, 2] = c > 0, np.log10((c + 0.5) / low), right.column("log").to_numpy()
-        sums, lengths = [], []
-        for number, times in zip(left.column("tokens").to_pylist(), left.column("times").to_pylist()):
-            number, times = unpacked(number, times)
-            sums.append(times @ by_number[number])
-            lengths.append(int(times.sum()))
-        sums = np.array(sums).reshape(-1, 3)
+        own = right.filter(pc.is_valid(right.column("codes"))).sort_by("part")
+        ids = ids_of(own)
+        whole = np.concatenate([restored(b, s * (1 + draws), np.int64) for b, s in zip(own.column("whole").to_pylist(), own.column("size").to_pylist())]).reshape(-1, 1 + draws)
+        chance = np.concatenate([restored(b, s * draws, np.float32) for b, s in zip(own.column("chance").to_pylist(), own.column("size").to_pylist())]).reshape(-1, draws)
+        token, length = tokens_of(left, len(ids))
+        pairs = pairs_of(token, ids, parts)
+        value = np.zeros(pairs.number.max() + 1)
+        value[pairs.dealt] = all_restored(right.filter(pc.is_valid(right.column("pairs"))).sort_by("part"), "pairs", float)
+        c, u = whole[:, 0], pairs.before
+        p = value[pairs.number]
+        for k in range(draws):
+            p += (CONTEXT_STRENGTH + DISCOUNT * whole[u, 1 + k]) * chance[token, k] / draws
+        logs = np.log10(np.maximum(p, 1e-300) / (CONTEXT_STRENGTH + c[u]))
+        start = np.cumsum(length) - length
+        sums = lambda x: np.add.reduceat(x, start)
         return pa.table({
-            "id": left.column("id"), "held_out": left.column("held_out"), "n_tokens": pa.array(lengths, pa.int64()),
-            "n_known": np.rint(sums[:, 0]).astype(np.int64), "train_tokens": np.full(len(sums), tokens, np.int64),
-            "base_score": sums[:, 1], "score": sums[:, 2] / math.log(10),
+            "id": left.column("id"), "held_out": left.column("held_out"), "n_tokens": length, "n_known": sums((c > 0)[token].astype(np.int64)),
+            "train_tokens": np.full(len(length), tokens, np.int64), "base_score": sums(np.log10((c + 0.5) / low)[token]), "score": sums(logs),
         })
 
-    kind = df.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    out = documents.groupBy("chunk").cogroup(placed.groupBy("home")).applyInArrow(run, schema)
-    return out.withColumnRenamed("id", id_col)
+    return documents.groupBy("chunk").cogroup(packets.groupBy("chunk")).applyInArrow(run, schema)
 
 
 def gathered(batches: Iterator[pa.RecordBatch], most: int = SEATED_WORDS) -> Iterator[pa.Table]:
@@ -328,30 +547,38 @@ def _spelled(state: DataFrame) -> DataFrame:
     return rows.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
 
 
-def _sweep(state: DataFrame, model: Speller, tokens: int, total: int, sweep: int, counts: bool) -> DataFrame:
-    """New tables of each word; its predictive probability joins the average if the sweep `counts`. The last entry of
-    `logs` is the logarithm of the average, the one before it how many are in it."""
+def _sweep(state: DataFrame, model: Speller, customers: int, total: int, sweep: int, counts: bool) -> DataFrame:
+    """New tables of each word without context, and its predictive probability `now`, which joins `p` if the sweep `counts`;
+    `rooms` gets the tables of the sweep before, if that one did."""
 
     def flow(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         shared = model
         for k, batch in enumerate(gathered(batches)):
-            words = batch.column("word").to_pylist()
-            c, before = batch.column("c").to_numpy(), batch.column("t").to_numpy()
-            spelled = np.exp(np.maximum(shared.log_probability(words), -600))
+            c, before = batch.column("customers").to_numpy(), batch.column("t").to_numpy()
+            spelled = np.exp(np.maximum(shared.log_probability(batch.column("word").to_pylist()), -600))
             rng = np.random.default_rng([sweep, TaskContext.get().partitionId(), k])
             t = seat(c, total - before, spelled, WORD_STRENGTH, rng)
-            here = total - before + t
-            fresh = (WORD_STRENGTH + DISCOUNT * here) * spelled
-            p = np.log(np.maximum((np.where(c > 0, c - DISCOUNT * t, 0) + fresh) / (WORD_STRENGTH + tokens), 1e-300))
-            logs = []
-            for own, new in zip(batch.column("logs").to_pylist(), p.tolist()):
-                if not counts:
-                    logs.append(own)
-                elif not own:
-                    logs.append([1.0, new])
-                else:
-                    n, mean = own
-                    logs.append([n + 1, float(np.logaddexp(mean + math.log(n / (n + 1)), new - math.log(n + 1)))])
-            yield {"word": words, "c": c, "t": t, "logs": logs, "spelled": spelled}
-
-    return arrow_flow(state.select("word", "c", "t", "logs"), flow, "word binary, c long, t long, logs array<double>, spelled double")
+            fresh = (WORD_STRENGTH + DISCOUNT * (total - before + t)) * spelled
+            now = np.maximum((c - DISCOUNT * t + fresh) / (WORD_STRENGTH + customers), 1e-300)
+            kept = {n: batch.column(n).combine_chunks() for n in ("id", "word", "c", "p", "rooms", "opened")}
+            yield kept | {"t": t, "now": now, "spelled": spelled}
+
+    columns = "id long, word binary, c long, p array<float>, rooms array<long>, opened long"
+    rooms = F.when(F.size("p") > 0, F.concat("rooms", F.array("opened"))).otherwise(F.col("rooms"))
+    source = state.select("id", "word", "c", "p", rooms.alias("rooms"), "opened", "customers", "t")
+    found = arrow_flow(source, flow, f"{columns}, t long, now double, spelled double")
+    return found.withColumn("p", F.concat("p", F.array(F.col("now").cast("float")))) if counts else found
+
+
+def _seat_pairs(pairs: DataFrame, sweep: int, counts: bool) -> DataFrame:
+    """New tables of each pair in the restaurant of its first word, which join the sum if the sweep `counts`."""
+
+    def flow(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for k, batch in enumerate(gathered(batches)):
+            before = batch.column("t").to_numpy()
+            rng = np.random.default_rng([1 + sweep, 1 << 32, TaskContext.get().partitionId(), k])
+            t = seat(batch.column("c").to_numpy(), batch.column("opened").to_numpy() - before, batch.column("now").to_numpy(), CONTEXT_STRENGTH, rng)
+            kept = {n: batch.column(n).combine_chunks() for n in ("part", "place", "u", "w", "c")}
+            yield kept | {"t": t, "sum": batch.column("sum").to_numpy() + counts * t}
+
+    return arrow_flow(pairs, flow, "part int, place int, u long, w long, c long, t long, sum long")
