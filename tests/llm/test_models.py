@@ -361,3 +361,19 @@ def test_model_prefers_texts_in_order(spark, monkeypatch):
     parts = {r["doc_id"]: r for r in lm.score(both, held).collect()}
     assert all(parts[i]["n_known"] == r["n_known"] and parts[i]["base_score"] == pytest.approx(r["base_score"]) for i, r in got.items())
     assert sum(r["score"] for r in parts.values()) == pytest.approx(sum(r["score"] for r in got.values()), rel=5e-3)
+
+
+def test_toxicity_deals_texts_once(spark, monkeypatch):
+    """Epochs read what was dealt: no text goes through a shuffle again, and a task's shards send one sum."""
+    plans, flow = [], toxicity.arrow_flow
+
+    def seen(df, *more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return flow(df, *more)
+
+    monkeypatch.setattr(toxicity, "arrow_flow", seen)
+    rows = spark.range(900).select(F.xxhash64("id").alias("h"), F.concat(F.lit("w"), F.col("id") % 50).alias("text"), (F.col("id") % 2).cast("int").alias("toxic"))
+    several = toxicity.train_shards(rows, 5, (1.0, 1.0))
+    assert len(plans) == toxicity.EPOCHS and not any("Exchange" in p for p in plans)
+    again = toxicity.train_shards(rows.repartition(3), 5, (1.0, 1.0))
+    assert (several.table == again.table).all() and several.shift == again.shift

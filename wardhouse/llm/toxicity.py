@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardhouse.llm.common import arrow_flow, arrow_map, carried, cut, plain_words, text_bytes
+from wardhouse.llm.common import arrow_flow, arrow_map, carried, cut, plain_words, scratch_folder, text_bytes
 
 THRESHOLD = 0.3
 EPOCHS = 3
@@ -171,44 +171,58 @@ def _network(flat: np.ndarray) -> Network:
     return Network(flat[: PAD + 1].copy(), filters, bias.reshape(len(WIDTHS), FILTERS), out, float(shift[0]))
 
 
+def cut_by(df: DataFrame, column: str) -> DataFrame:
+    """As `cut`, for rows dealt so that a value of `column` is in one task only: each value's rows are one row group of a
+    file of their own, so one task reads them together again, in every pass and without a shuffle."""
+    spark = df.sparkSession
+    folder = scratch_folder(spark)
+    df.write.partitionBy(column).option("parquet.block.size", 1 << 30).parquet(folder, compression="zstd")
+    return spark.read.schema(df.schema).parquet(folder).select(df.columns)
+
+
 def train_shards(rows: DataFrame, shards: int, weights: tuple[float, float], epochs: int = EPOCHS) -> Network:
     """Trains on every row of `rows` (h, text, toxic), in `shards` of equal hash ranges.
 
     In each epoch every shard goes on from the common network, text by text in an order of its own; then each parameter
     moves by the mean move of the shards that touched it. Moves are added as integers, so the result does not depend on
-    the order in which shards end. `weights` are those of the classes' gradients. Tasks hold one text and the network.
+    the order in which shards end. `weights` are those of the classes' gradients. Tasks hold one text, the network and the
+    sum of their shards' moves, so what they send does not grow with the number of shards. Rows are dealt once.
     """
     flat, steps = _flat(fresh()), _flat(first_steps())
     columns = [f"v{i}" for i in range(2 * SIZE)]
-    schema = ", ".join(["row int", *[f"{c} long" for c in columns]])
-    dealt = rows.withColumn("shard", F.pmod(F.shiftright("h", 8), F.lit(shards)))
+    schema = ", ".join(["row int", "n long", *[f"{c} long" for c in columns]])
+    # More ranges than shards: bounds fall between all shards, while hashes would put several into one task.
+    dealt = rows.select(F.pmod(F.shiftright("h", 8), F.lit(shards)).alias("shard"), "h", "text", "toxic")
+    dealt = cut_by(dealt.repartitionByRange(4 * shards, "shard"), "shard")
     for epoch in range(epochs):
 
         def flow(batches: Iterator[pa.RecordBatch], flat=flat, steps=steps) -> Iterator[dict]:
             trainer, shard = None, None
+            times, sums = np.zeros(len(flat), np.int64), np.zeros((len(flat), 2 * SIZE), np.int64)
 
-            def moves() -> dict:
+            def add_moves() -> None:
                 touched = np.flatnonzero(np.r_[trainer.touched, np.ones(len(flat) - PAD - 1, bool)])
                 moved = np.c_[_flat(trainer.net)[touched] - flat[touched], _flat(trainer.steps)[touched] - steps[touched]]
-                whole = np.rint(moved * SCALE).astype(np.int64)
-                return {"row": touched.astype(np.int32), **{c: whole[:, i] for i, c in enumerate(columns)}}
+                times[touched] += 1
+                sums[touched] += np.rint(moved * SCALE).astype(np.int64)
 
             for batch in batches:
                 for own, text, label in zip(*(batch.column(c) for c in ("shard", "text", "toxic"))):
                     own, label = own.as_py(), label.as_py()
                     if own != shard:
                         if trainer is not None:
-                            yield moves()
+                            add_moves()
                         trainer, shard = Trainer(_network(flat), _network(steps)), own
                     trainer.step(rows_of(plain_words(text.as_py())), float(label), weights[label])
             if trainer is not None:
-                yield moves()
+                add_moves()
+                met = np.flatnonzero(times)
+                yield {"row": met.astype(np.int32), "n": times[met], **{c: sums[met, i] for i, c in enumerate(columns)}}
 
         turn = dealt.withColumn("turn", F.xxhash64("h", F.lit(epoch)))
-        # More ranges than shards: bounds fall between all shards, while hashes would put several into one task.
-        placed = turn.repartitionByRange(4 * shards, "shard").sortWithinPartitions("shard", "turn", "text", "toxic")
+        placed = turn.sortWithinPartitions("shard", "turn", "text", "toxic")
         found = arrow_flow(placed.select("shard", "text", "toxic"), flow, schema)
-        sums = found.groupBy("row").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in columns]).toArrow()
+        sums = found.groupBy("row").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in columns]).toArrow()
         at, n = sums.column("row").to_numpy(), sums.column("n").to_numpy()
         for i, c in enumerate(columns):
             (flat if i < SIZE else steps)[at, i % SIZE] += sums.column(c).to_numpy() / n / SCALE
