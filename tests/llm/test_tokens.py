@@ -124,3 +124,16 @@ def test_configurations_beat_first_fit():
     counts = np.zeros(11, np.int64)
     counts[4], counts[3] = 60, 120
     assert sum(n for _, n in packing.solve(counts, 10)) == 60
+
+
+def test_digests_spell_each_chunk_once(monkeypatch):
+    """Counts, decimals and decoded bytes are those of the whole ids, whether chunks are kept spelled or not."""
+    texts = ["", "a b a  b\n\nc", " the cat, the dog the end ", "日本語 テキスト 🙂 the cat", "x" * 300 + " the"] * 3
+    for most in (0, 3, 10_000):
+        monkeypatch.setattr(bpe, "SPELLED_PIECES", most)
+        coder = bpe.ByteBPE()
+        decoded, decode = [], coder.decode
+        monkeypatch.setattr(coder, "decode", lambda ids: decoded.append(ids) or decode(ids))
+        found = coder.digests(texts)
+        assert [(n, i[1:], d) for n, i, d in found] == [(len(i), ",".join(map(str, i)), t.encode()) for i, t in zip(coder.encode(texts), texts)]
+    assert len(decoded) == len(coder.spelled)

@@ -25,6 +25,8 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 # Chunks that a worker keeps, and that it learns at once.
 CACHE_PIECES, LEARN_PIECES = 700_000, 30_000
+# Chunks that a worker keeps spelled and decoded too.
+SPELLED_PIECES = 200_000
 # Leaves of all trees that are worked on at once.
 BATCH_LEAVES = 1 << 19
 NONE = np.int64(1) << 62
@@ -131,6 +133,7 @@ class ByteBPE:
             for t, i in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks
         )
         self.cache: dict[str, tuple[int, ...]] = {}
+        self.spelled: dict[str, tuple[str, bytes]] = {}
 
     def _chunks(self, text: str) -> list[str]:
         """Parts of the text that the pattern never matches across: white space and the word after it. Where white
@@ -140,14 +143,20 @@ class ByteBPE:
         first, *rest = text.split(" ")
         return ([first] if first else []) + [" " + w for w in rest]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def _known(self, texts: list[str]) -> list[list[str]]:
+        """The chunks of each text, all in the cache."""
         parts = [self._chunks(t) for t in texts]
         new = [c for c in set().union(*parts) if c not in self.cache]
         if len(self.cache) + len(new) > CACHE_PIECES:
             self.cache.clear()
+            self.spelled.clear()
             new = list(set().union(*parts))
         for at in range(0, len(new), LEARN_PIECES):
             self._learn(new[at : at + LEARN_PIECES])
+        return parts
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        parts = self._known(texts)
         out = []
         for chunks in parts:
             ids: list[int] = []
@@ -164,6 +173,24 @@ class ByteBPE:
         known = dict(zip(distinct, (tuple(map(self.number.__getitem__, ids.tolist())) for ids in symbols)))
         self.cache.update((chunk, sum(map(known.__getitem__, ps), ())) for chunk, ps in zip(chunks, pieces))
 
+    def digests(self, texts: list[str]) -> list[tuple[int, str, bytes]]:
+        """By text, how many ids it has, these in decimal behind a comma each, and what they decode to. Ids are spelled and
+        decoded once for each chunk that is known; a text's are those of its chunks in turn."""
+        parts, spelled, spell = self._known(texts), self.spelled, self._spell
+        out = []
+        for chunks in parts:
+            found = [spelled.get(c) or spell(c) for c in chunks]
+            ids, decoded = "".join([f[0] for f in found]), b"".join([f[1] for f in found])
+            out.append((ids.count(","), ids, decoded))
+        return out
+
+    def _spell(self, chunk: str) -> tuple[str, bytes]:
+        ids = self.cache[chunk]
+        found = "," + ",".join(map(self.decimal.__getitem__, ids)), self.decode(ids)
+        if len(self.spelled) < SPELLED_PIECES:
+            self.spelled[chunk] = found
+        return found
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
 
@@ -185,7 +212,12 @@ def encode_documents(
 
     Null and empty texts have no ids. Ids of rows may be null or repeated; other columns are ignored.
     """
-    return _encoded(df, id_col, text_col, ranks, pattern, lambda ids, decoded, _: {"ids": ids, "decoded": decoded}, "ids array<int>, decoded binary")
+
+    def whole(bpe: ByteBPE, texts: list[str]) -> dict:
+        ids = bpe.encode(texts)
+        return {"ids": ids, "decoded": [bpe.decode(i) for i in ids]}
+
+    return _encoded(df, id_col, text_col, ranks, pattern, whole, "ids array<int>, decoded binary")
 
 
 def encode_digests(
@@ -193,10 +225,11 @@ def encode_digests(
 ) -> DataFrame:
     """As `encode_documents`, with the ids and the decoded bytes as digests: n_tokens, ids_sha256, decoded_sha256."""
 
-    def digests(ids, decoded, decimal) -> dict:
+    def digests(bpe: ByteBPE, texts: list[str]) -> dict:
+        n, ids, decoded = zip(*bpe.digests(texts))
         return {
-            "n_tokens": [len(i) for i in ids],
-            "ids_sha256": [hashlib.sha256(",".join(map(decimal, i)).encode()).hexdigest() for i in ids],
+            "n_tokens": n,
+            "ids_sha256": [hashlib.sha256(i[1:].encode()).hexdigest() for i in ids],
             "decoded_sha256": [hashlib.sha256(d).hexdigest() for d in decoded],
         }
 
@@ -211,8 +244,7 @@ def _encoded(df, id_col, text_col, ranks, pattern, columns, schema) -> DataFrame
         def step(batch: pa.RecordBatch) -> dict:
             out: dict = {}
             for part in portions(batch.column("text").to_pylist()):
-                ids = bpe.encode([t.decode("utf-8", "replace") for t in part])
-                for name, values in columns(ids, [bpe.decode(i) for i in ids], bpe.decimal.__getitem__).items():
+                for name, values in columns(bpe, [t.decode("utf-8", "replace") for t in part]).items():
                     out.setdefault(name, []).extend(values)
             return {"id": batch.column("id")} | out
 
