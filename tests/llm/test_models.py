@@ -377,3 +377,21 @@ def test_toxicity_deals_texts_once(spark, monkeypatch):
     assert len(plans) == toxicity.EPOCHS and not any("Exchange" in p for p in plans)
     again = toxicity.train_shards(rows.repartition(3), 5, (1.0, 1.0))
     assert (several.table == again.table).all() and several.shift == again.shift
+
+
+def test_toxicity_moves_only_labelled_texts(spark, monkeypatch):
+    """Texts without a label stay where they are, the others are dealt to shards by the join itself, and once."""
+    rows = spark.range(20_000).select("id", F.xxhash64(F.col("id").cast("string"), F.lit("toxic")).alias("h"))
+    labelled = rows.where("id % 40 = 0")
+    got = {r["id"] for r in toxicity.perhaps_met(rows, labelled.select("h"), 500).collect()}
+    assert got >= set(range(0, 20_000, 40)) and len(got) < 2_500
+    seen, deal = [], toxicity.cut_by
+    monkeypatch.setattr(toxicity, "cut_by", lambda df, *by: seen.append((df, by)) or deal(df, *by))
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 100)
+    docs = rows.select("id", F.lit("en").alias("lang"), F.when(F.col("id") % 80 == 0, "bad ugly").otherwise("good fine").alias("text"))
+    labels = labelled.select("id", (F.col("id") % 80 == 0).cast("int").alias("toxic"))
+    model = toxicity.fit(docs.union(docs.where("id = 80")), labels.union(spark.range(1).selectExpr("cast(null as long)", "1")))
+    ((df, by),) = seen
+    assert by == ("body", "shard") and df.count() == 501
+    assert df.rdd.glom().map(lambda part: len({r["shard"] for r in part})).max() == 1
+    assert model.net.out.any() and model.thresholds.keys() == {"en"}

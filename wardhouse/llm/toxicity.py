@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,8 @@ THRESHOLD = 0.3
 EPOCHS = 3
 # Rows that a shard trains in turn; a larger table has more shards.
 SHARD_ROWS = 8_000
+# Binary logarithm of the bits that mark labelled ids.
+MOST_BITS = 27
 # Moves of parameters are added as multiples of 1 / SCALE.
 SCALE = float(1 << 32)
 # Thresholds that a language may get.
@@ -171,17 +173,30 @@ def _network(flat: np.ndarray) -> Network:
     return Network(flat[: PAD + 1].copy(), filters, bias.reshape(len(WIDTHS), FILTERS), out, float(shift[0]))
 
 
-def cut_by(df: DataFrame, column: str) -> DataFrame:
-    """As `cut`, for rows dealt so that a value of `column` is in one task only: each value's rows are one row group of a
+def cut_by(df: DataFrame, *columns: str) -> DataFrame:
+    """As `cut`, for rows dealt so that a value of `columns` is in one task only: each value's rows are one row group of a
     file of their own, so one task reads them together again, in every pass and without a shuffle."""
     spark = df.sparkSession
     folder = scratch_folder(spark)
-    df.write.partitionBy(column).option("parquet.block.size", 1 << 30).parquet(folder, compression="zstd")
+    df.write.partitionBy(*columns).option("parquet.block.size", 1 << 30).parquet(folder, compression="zstd")
     return spark.read.schema(df.schema).parquet(folder).select(df.columns)
 
 
+def perhaps_met(rows: DataFrame, hashes: DataFrame, n: int) -> DataFrame:
+    """The `rows` whose h is one of the `n` distinct values in `hashes` (h), and few others: a bitmap of the hashes, at most
+    16 MB of it, is broadcast, so that rows are left out before they pass a shuffle. A join must follow."""
+    bits = 1 << min(MOST_BITS, max(15, (16 * n).bit_length()))
+    place = F.pmod("h", F.lit(bits))
+    block, bit = F.shiftright(place, 15).alias("_block"), F.pmod(place, F.lit(1 << 15))
+    bitmap = hashes.groupBy(block).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+    marked = rows.select("*", block, bit.alias("_bit")).join(F.broadcast(bitmap), "_block")
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    return marked.where(byte.bitwiseAND(F.expr("shiftleft(1, cast(_bit % 8 as int))")) != 0).select(*rows.columns)
+
+
 def train_shards(rows: DataFrame, shards: int, weights: tuple[float, float], epochs: int = EPOCHS) -> Network:
-    """Trains on every row of `rows` (h, text, toxic), in `shards` of equal hash ranges.
+    """Trains on every row of `rows` (h, text, toxic), in `shards` of equal hash ranges, or as a column `shard` says of rows
+    that `cut_by` wrote.
 
     In each epoch every shard goes on from the common network, text by text in an order of its own; then each parameter
     moves by the mean move of the shards that touched it. Moves are added as integers, so the result does not depend on
@@ -192,8 +207,10 @@ def train_shards(rows: DataFrame, shards: int, weights: tuple[float, float], epo
     columns = [f"v{i}" for i in range(2 * SIZE)]
     schema = ", ".join(["row int", "n long", *[f"{c} long" for c in columns]])
     # More ranges than shards: bounds fall between all shards, while hashes would put several into one task.
-    dealt = rows.select(F.pmod(F.shiftright("h", 8), F.lit(shards)).alias("shard"), "h", "text", "toxic")
-    dealt = cut_by(dealt.repartitionByRange(4 * shards, "shard"), "shard")
+    dealt = rows
+    if "shard" not in rows.columns:
+        dealt = rows.select(F.pmod(F.shiftright("h", 8), F.lit(shards)).alias("shard"), "h", "text", "toxic")
+        dealt = cut_by(dealt.repartitionByRange(4 * shards, "shard"), "shard")
     for epoch in range(epochs):
 
         def flow(batches: Iterator[pa.RecordBatch], flat=flat, steps=steps) -> Iterator[dict]:
@@ -317,12 +334,16 @@ def fit(rows: DataFrame, labels: DataFrame | None = None) -> Model:
     """
     if labels is None:
         labels = rows.where("id is not null").groupBy("id").agg(F.max("toxic").alias("toxic"))
-    hashed = F.xxhash64(F.col("id").cast("string"), F.lit("toxic"))
     known = labels.select("id", F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)")
-    texts = rows.select("id", "lang", text_bytes(rows, "text").alias("text"))
-    labelled = cut(texts.join(known, "id").select(F.col("lang").cast("string").alias("lang"), "text", "toxic", hashed.alias("h")))
+    # Texts and labels are dealt by the same hash of the id, so they need its common type.
+    kind = rows.select("id").union(known.select("id")).schema["id"].dataType
+    hashed = F.xxhash64(F.col("id").cast("string"), F.lit("toxic")).alias("h")
+    texts = rows.where("id is not null").select(F.col("id").cast(kind).alias("id"), hashed, F.col("lang").cast("string").alias("lang"), text_bytes(rows, "text").alias("text"))
+    known = known.select(F.col("id").cast(kind).alias("id"), "toxic")
+    # Ids alone are met first: they tell how many shards there are, and which texts need to pass the shuffle.
+    met = cut(texts.select("id", "h").join(known, "id").select("h", "toxic"))
     body = F.pmod("h", F.lit(5)) < 4
-    counted = {(r["toxic"], r["body"]): r["n"] for r in labelled.groupBy("toxic", body.alias("body")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    counted = {(r["toxic"], r["body"]): r["n"] for r in met.groupBy("toxic", body.alias("body")).agg(F.count(F.lit(1)).alias("n")).collect()}
     one, zero = (counted.get((label, True), 0) + counted.get((label, False), 0) for label in (1, 0))
     ones, zeros = counted.get((1, True), 0), counted.get((0, True), 0)
     if not ones or not zeros:
@@ -331,7 +352,14 @@ def fit(rows: DataFrame, labels: DataFrame | None = None) -> Model:
         net.shift = -30.0 if not one else 30.0 if not zero else float(np.log(one / zero))
         return Model(net, 0.0, {})
     weights = ((ones + zeros) / (2 * zeros), (ones + zeros) / (2 * ones))
-    net = train_shards(labelled.where(body), -(-(ones + zeros) // SHARD_ROWS), weights)
+    shards = -(-(ones + zeros) // SHARD_ROWS)
+    # Texts and labels pass one shuffle, to the task of their shard, and meet there by a window instead of a join.
+    shard = F.pmod(F.hash("id"), F.lit(shards)).alias("shard")
+    both = perhaps_met(texts, met.select("h"), one + zero).unionByName(known, allowMissingColumns=True).select("*", shard)
+    own = F.collect_list("toxic").over(Window.partitionBy("shard", "id"))
+    labelled = both.repartitionById(shards, "shard").select("shard", "h", "lang", "text", own.alias("own")).where("text is not null")
+    labelled = cut_by(labelled.select(body.alias("body"), "shard", "h", "lang", "text", F.explode("own").alias("toxic")), "body", "shard")
+    net = train_shards(labelled.where("body").select("shard", "h", "text", "toxic"), shards, weights)
     offset = float(np.log(one / zero))
     grid = np.array(GRID)
 
@@ -345,7 +373,7 @@ def fit(rows: DataFrame, labels: DataFrame | None = None) -> Model:
 
         return step
 
-    held = labelled.where(~body & F.col("lang").isNotNull()).select("lang", "text", "toxic")
+    held = labelled.where(~F.col("body") & F.col("lang").isNotNull()).select("lang", "text", "toxic")
     bins = arrow_map(held, per_task, "lang string, reached int, toxic int").groupBy("lang", "reached", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()
     # The largest threshold that a score reaches stands for it.
     scores = np.array([0.0, *GRID])[[r["reached"] for r in bins]]
