@@ -395,3 +395,20 @@ def test_toxicity_moves_only_labelled_texts(spark, monkeypatch):
     assert by == ("body", "shard") and df.count() == 501
     assert df.rdd.glom().map(lambda part: len({r["shard"] for r in part})).max() == 1
     assert model.net.out.any() and model.thresholds.keys() == {"en"}
+
+
+def test_model_keeps_pairs_in_their_parts(spark, monkeypatch):
+    """Sweeps move a packet per part, no row per pair, and draws do not follow the layout of tasks."""
+    seen, seat = [], lm._seat_pairs
+    monkeypatch.setattr(lm, "_seat_pairs", lambda pairs, *more: seen.append(pairs.count()) or seat(pairs, *more))
+    monkeypatch.setattr(lm, "PART_BYTES", 20_000)
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.expr("concat_ws(' ', transform(sequence(1, 60), x -> concat('w', (id * 7 + x * x) % 53)))").alias("text"))
+    held, rows, usual = docs["doc_id"] % 5 == 1, [], spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in (2, 5):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            rows.append({r["doc_id"]: r["score"] for r in lm.score(docs.coalesce(1), held).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    assert rows[0] == rows[1] and len(rows[0]) == 400
+    assert len(seen) == 2 * lm.SWEEPS and 1 < max(seen) <= 1 + 400 * 240 // 20_000

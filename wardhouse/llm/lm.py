@@ -10,6 +10,8 @@ probabilities are averaged over the sweeps after the first ones.
 Word and pair counts never meet in one place. Documents are reduced once, in their tasks, to numbers into the vocabulary of
 their chunk (a bounded part of a task's texts). A chunk's words, and later its pairs of words, go to parts by their hash, one
 compressed packet per chunk and part; a part numbers and counts them, and values return by the same packets, in their order.
+Words and pairs stay in their parts during the sweeps: a part of pairs sends the shares of its distinct words to the words' parts
+and gets their values back in the same order, so a word travels once for all of a part's pairs that have it.
 """
 
 from __future__ import annotations
@@ -43,8 +45,6 @@ PART_BYTES = 16 << 20
 # Weights whose logarithm is this far below the largest one's do not change a sum in doubles.
 LOST = -45.0
 SPELLER_ROUNDS = 3
-# Words of a task that are seated together: a loop over tables serves them all.
-SEATED_WORDS = 1 << 15
 # Bytes and the mark that ends a word; contexts also start with a mark.
 END, START, SYMBOLS = 256, 256, 257
 
@@ -279,8 +279,9 @@ def _grouped(df: DataFrame, key: str, schema: str, run: Callable[[pa.Table, Call
 
 
 def _word_parts(packets: DataFrame) -> DataFrame:
-    """Training words with `id` and count, and their chunks' packets of codes: -1 for a word that training has not, otherwise
-    the low half of its id, which has the part in the high half. An odd id is that of a word met once."""
+    """Training words by part (`home`), in order of id, with their counts and `tokens`, and their chunks' packets of codes: -1
+    for a word that training has not, otherwise the low half of its id, which has the part in the high half. An odd id is that
+    of a word met once."""
 
     def run(table: pa.Table, rows: Callable) -> list[pa.Table]:
         part = table.column("part")[0].as_py()
@@ -295,12 +296,24 @@ def _word_parts(packets: DataFrame) -> DataFrame:
         code = np.where(c > 0, np.arange(len(c)) << 1 | (c == 1), -1).astype(np.int32)
         known = np.flatnonzero(c)
         words = list(numbers)
+        body = b" ".join([words[k] for k in known.tolist()])
+        ids = part << 32 | code[known].astype(np.int64)
+        own = {"home": [part], "size": [len(known)], "room": [len(body)], "tokens": [int(c.sum())], "words": [pa.compress(body, codec="zstd", asbytes=True)]}
         return [
-            rows(id=part << 32 | code[known].astype(np.int64), word=[words[k] for k in known.tolist()], c=c[known]),
+            rows(**own, ids=[squeezed(ids)], c=[squeezed(c[known])]) if len(known) else rows(home=[]),
             rows(chunk=table.column("chunk").to_numpy(), part=table.column("part").to_numpy(), size=table.column("size").to_numpy(), codes=[squeezed(code[m]) for m in met]),
         ]
 
-    return _grouped(packets, "part", "id long, word binary, c long, chunk long, part int, size long, codes binary", run)
+    return _grouped(packets, "part", f"{WORDS}, tokens long, chunk long, part int, codes binary", run)
+
+
+# A part of words. Beside the ids and counts in their order: tables `t`, those `opened` in the words' restaurants, and by draw
+# that counts the chances without context `p` and the opened tables `rooms`.
+WORDS = "home int, size long, room long, words binary, ids binary, c binary"
+
+
+def words_of(row: dict) -> list[bytes]:
+    return pa.decompress(row["words"], decompressed_size=row["room"], codec="zstd", asbytes=True).split(b" ")
 
 
 def ids_of(packets: pa.Table) -> np.ndarray:
@@ -361,8 +374,8 @@ def _chunk_pairs(documents: DataFrame, packets: DataFrame, parts: int) -> DataFr
 
 
 def _pair_parts(packets: DataFrame) -> DataFrame:
-    """Pairs met twice or more (`part`, `place`, `u`, `w`, `c`), and the packets of codes: -2 for a pair that training has
-    not, -1 for one met once, else its place."""
+    """A row per part with the pairs met twice or more in order (`size`, `u`, `w`, `c`), and the packets of codes: -2 for a pair
+    that training has not, -1 for one met once, else its place."""
 
     def run(table: pa.Table, rows: Callable) -> list[pa.Table]:
         part, size = table.column("part")[0].as_py(), table.column("size").to_numpy()
@@ -377,12 +390,15 @@ def _pair_parts(packets: DataFrame) -> DataFrame:
         codes = np.empty(len(order), np.int32)
         codes[order] = np.repeat(code, np.diff(np.append(first, len(order))))
         return [
-            rows(part=np.full(len(many), part, np.int32), place=np.arange(len(many), dtype=np.int32), u=u[many], w=w[many], c=c[many]),
+            rows(part=[part], size=[len(many)], u=[squeezed(u[many])], w=[squeezed(w[many])], c=[squeezed(c[many])], shared=[int(c[many].sum()) - len(many)]) if len(many) else rows(part=[]),
             rows(chunk=table.column("chunk").to_numpy(), part=table.column("part").to_numpy(), size=size, codes=[squeezed(x) for x in np.split(codes, np.cumsum(size)[:-1])]),
         ]
 
-    schema = "part int, place int, u long, w long, c long, chunk long, size long, codes binary"
-    return _grouped(packets, "part", schema, run)
+    return _grouped(packets, "part", f"{PAIRS}, shared long, chunk long, codes binary", run)
+
+
+# A part of pairs; beside it their tables `t`, `sum` of these over the draws that count, and all customers at `shared` tables.
+PAIRS = "part int, size long, u binary, w binary, c binary"
 
 
 def score(
@@ -405,14 +421,12 @@ def score(
     word_packets = words.where("chunk is not null").select("chunk", "part", "size", "codes")
     followed = cut(_pair_parts(_chunk_pairs(documents, word_packets, parts)))
 
-    # Before the first sweep every dish has one table. Dishes with one customer keep it, so only the pairs met twice or more
-    # are seated.
-    zero = F.lit(0).cast("long")
-    state = words.where("id is not null").select(
-        "id", "word", "c", F.lit(1).cast("long").alias("t"), F.array().cast("array<float>").alias("p"), F.array().cast("array<long>").alias("rooms")
-    )
-    tokens, distinct = state.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    pairs = followed.where("u is not null").select("part", "place", "u", "w", "c", F.lit(1).cast("long").alias("t"), zero.alias("sum"))
+    # Before the first sweep every dish has one table (no `t`). Dishes with one customer keep it, so only the pairs met twice
+    # or more are seated.
+    none = [F.lit(None).cast("binary").alias(c) for c in ("t", "opened", "p", "rooms")]
+    state = words.where("home is not null").select("home", "size", "room", "words", "ids", "c", "tokens", *none)
+    tokens, distinct = state.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    pairs = followed.where("u is not null").select("part", "size", "u", "w", "c", none[0], F.lit(None).cast("binary").alias("sum"), "shared")
 
     # A sweep: spelled symbols of all tables are summed (no more than triples of symbols), the speller is drawn, then each
     # word's tables, then each pair's.
@@ -420,35 +434,50 @@ def score(
     for sweep in range(sweeps):
         trigrams = {(r["context"], r["symbol"]): r["n"] for r in _spelled(state).toArrow().to_pylist()}
         model = speller(trigrams, np.random.default_rng(1_000 + sweep))
-        customers = tokens - pairs.agg(F.coalesce(F.sum(F.col("c") - F.col("t")), F.lit(0))).first()[0]
-        state = cut(_sweep(_served(state, pairs), model, customers, total, sweep, sweep >= burn_in))
-        total, met_mass = state.agg(F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum("spelled"), F.lit(0.0))).first()
-        rooms = state.where("id % 2 = 0").select(F.col("id").alias("u"), "opened")
-        parents = state.where("id % 2 = 0").select(F.col("id").alias("w"), "now")
-        pairs = cut(_seat_pairs(pairs.join(rooms, "u").join(parents, "w"), sweep, sweep >= burn_in))
+        customers = tokens - pairs.agg(F.coalesce(F.sum("shared"), F.lit(0))).first()[0]
+        swept = cut(_sweep(state, _shares(pairs), model, customers, total, sweep, sweep >= burn_in))
+        state = swept.where("part is null")
+        total, met_mass = state.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("mass"), F.lit(0.0))).first()
+        pairs = cut(_seat_pairs(pairs, swept.where("part is not null").select("part", "home", "size", "opened", "now"), sweep, sweep >= burn_in))
         if sweep >= burn_in:
             unknown.append((WORD_STRENGTH + DISCOUNT * total) * max(1 - met_mass, 1e-9) / (WORD_STRENGTH + customers))
-    state = _served(state, pairs).withColumn("rooms", F.concat("rooms", F.array("opened")))
+    state = _sweep(state, _shares(pairs), None, 0, 0, sweeps, True).select("home", "size", "ids", "c", "p", "rooms")
 
-    word_values = _word_values(word_packets, state.select(F.shiftright("id", 32).cast("int").alias("home"), "id", "c", "p", "rooms"), sweeps - burn_in, unknown)
+    word_values = _word_values(word_packets, state, sweeps - burn_in, unknown)
     codes = followed.where("chunk is not null").select("chunk", "part", "size", "codes")
-    pair_values = _pair_values(codes, pairs.select(F.col("part").alias("home"), "place", (F.col("c") - F.col("sum") * (DISCOUNT / (sweeps - burn_in))).alias("value")))
+    pair_values = _pair_values(codes, pairs.select(F.col("part").alias("home"), "size", "c", "sum"), sweeps - burn_in)
     out = _scored(documents, word_values.unionByName(pair_values, allowMissingColumns=True), kind, parts, tokens, tokens + 0.5 * (distinct + 1), sweeps - burn_in)
     return out.withColumnRenamed("id", id_col)
 
 
-def _served(state: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The words with the tables `opened` in their restaurants, and their `customers` without context: the tables that
-    serve them. Every training token of a word comes after one word and before one, so both are the word's tokens less
-    those of its pairs that share a table with others. Words met once (odd ids) have no such pairs."""
-    shared = F.col("c") - F.col("t")
-    zero = F.lit(0).cast("long")
-    by_word = pairs.select(F.col("u").alias("id"), shared.alias("as_room"), zero.alias("as_dish")).union(pairs.select("w", zero, shared))
-    by_word = by_word.groupBy("id").agg(F.sum("as_room").alias("as_room"), F.sum("as_dish").alias("as_dish"))
-    state = state.select("id", "word", "c", "t", "p", "rooms")
-    many = state.where("id % 2 = 0").join(by_word, "id", "left")
-    many = many.select(*state.columns, (F.col("c") - F.coalesce("as_room", zero)).alias("opened"), (F.col("c") - F.coalesce("as_dish", zero)).alias("customers"))
-    return many.unionByName(state.where("id % 2 = 1").select("*", F.col("c").alias("opened"), F.col("c").alias("customers")))
+def distinct_words(pair: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ids of the words in a part of pairs, in order, and the places of each pair's two words among them."""
+    u, w = (restored(pair[c], pair["size"], np.int64) for c in ("u", "w"))
+    ids, place = np.unique(np.concatenate([u, w]), return_inverse=True)
+    return ids, place[: len(u)], place[len(u) :]
+
+
+def _shares(pairs: DataFrame) -> DataFrame:
+    """For every part of pairs and of words, the words that these pairs have, in order of id, with the customers at shared
+    tables: of the words' restaurants (`as_room`) and as the words' own (`as_dish`)."""
+
+    def flow(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            for pair in batch.to_pylist():
+                ids, first, second = distinct_words(pair)
+                c = restored(pair["c"], pair["size"], np.int64)
+                shared = c - (restored(pair["t"], pair["size"], np.int64) if pair["t"] else 1)
+                as_room, as_dish = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+                np.add.at(as_room, first, shared)
+                np.add.at(as_dish, second, shared)
+                homes, start = np.unique(ids >> 32, return_index=True)
+                cuts = [*zip(start.tolist(), [*start[1:].tolist(), len(ids)])]
+                yield {
+                    "home": homes.astype(np.int32), "part": [pair["part"]] * len(homes), "size": [b - a for a, b in cuts],
+                    **{n: [squeezed(x[a:b]) for a, b in cuts] for n, x in (("ids", ids), ("as_room", as_room), ("as_dish", as_dish))},
+                }
+
+    return arrow_flow(pairs.select("part", "size", "u", "w", "c", "t"), flow, "home int, part int, size long, ids binary, as_room binary, as_dish binary")
 
 
 def _word_values(packets: DataFrame, state: DataFrame, draws: int, unknown: list[float]) -> DataFrame:
@@ -456,14 +485,14 @@ def _word_values(packets: DataFrame, state: DataFrame, draws: int, unknown: list
     their chance without context. Words that training has not have none, and share the chance `unknown`."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        at = (right.column("id").to_numpy() & 0xFFFFFFFF) >> 1
+        at = (all_restored(right, "ids", np.int64) & 0xFFFFFFFF) >> 1
         # The last row is that of words that training has not.
         n = 1 + int(at.max(initial=-1)) + 1
         whole, chance = np.zeros((n, 1 + draws), np.int64), np.zeros((n, draws), np.float32)
-        whole[at, 0], chance[-1] = right.column("c").to_numpy(), unknown
-        if len(at):
-            whole[at, 1:] = right.column("rooms").combine_chunks().flatten().to_numpy().reshape(-1, draws)
-            chance[at] = right.column("p").combine_chunks().flatten().to_numpy().reshape(-1, draws)
+        whole[at, 0], chance[-1] = all_restored(right, "c", np.int64), unknown
+        for row in right.to_pylist():
+            whole[at, 1:] = restored(row["rooms"], len(at) * draws, np.int64).reshape(-1, draws)
+            chance[at] = restored(row["p"], len(at) * draws, np.float32).reshape(-1, draws)
         out = []
         for chunk, part, size, codes in zip(*(left.column(c).to_pylist() for c in ("chunk", "part", "size", "codes"))):
             code = restored(codes, size, np.int32)
@@ -476,13 +505,13 @@ def _word_values(packets: DataFrame, state: DataFrame, draws: int, unknown: list
     return packets.groupBy("part").cogroup(state.groupBy("home")).applyInArrow(run, schema)
 
 
-def _pair_values(packets: DataFrame, pairs: DataFrame) -> DataFrame:
+def _pair_values(packets: DataFrame, pairs: DataFrame, draws: int) -> DataFrame:
     """The packets of pairs with the customers less the discount for their tables, averaged over the draws."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         # The last rows are those of the codes -2 and -1: pairs that training has not, and those met once.
-        value = np.concatenate([np.zeros(right.num_rows), [0.0, 1 - DISCOUNT]])
-        value[right.column("place").to_numpy()] = right.column("value").to_numpy()
+        met = all_restored(right, "c", np.int64) - all_restored(right, "sum", np.int64) * (DISCOUNT / draws)
+        value = np.concatenate([met, [0.0, 1 - DISCOUNT]])
         out = []
         for chunk, part, size, codes in zip(*(left.column(c).to_pylist() for c in ("chunk", "part", "size", "codes"))):
             out.append((chunk, part, size, squeezed(value[restored(codes, size, np.int32)])))
@@ -519,66 +548,85 @@ def _scored(documents: DataFrame, packets: DataFrame, kind: str, parts: int, tok
     return documents.groupBy("chunk").cogroup(packets.groupBy("chunk")).applyInArrow(run, schema)
 
 
-def gathered(batches: Iterator[pa.RecordBatch], most: int = SEATED_WORDS) -> Iterator[pa.Table]:
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        held.append(batch)
-        if sum(b.num_rows for b in held) >= most:
-            yield pa.Table.from_batches(held).combine_chunks()
-            held = []
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks()
-
-
 def _spelled(state: DataFrame) -> DataFrame:
     """(context, symbol, n) over all tables; added up in each task, so rows are bounded by tasks times symbol triples."""
 
     def flow(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         sums: Counter = Counter()
         for batch in batches:
-            context, symbol, owner = symbols(batch.column("word").to_pylist())
-            key, back = np.unique(context * SYMBOLS + symbol, return_inverse=True)
-            times = np.bincount(back, batch.column("t").to_numpy()[owner]).astype(np.int64)
-            sums.update(dict(zip(key.tolist(), times.tolist())))
+            for row in batch.to_pylist():
+                context, symbol, owner = symbols(words_of(row))
+                key, back = np.unique(context * SYMBOLS + symbol, return_inverse=True)
+                t = restored(row["t"], row["size"], np.int64) if row["t"] else np.ones(row["size"], np.int64)
+                times = np.bincount(back, t[owner]).astype(np.int64)
+                sums.update(dict(zip(key.tolist(), times.tolist())))
         keys = np.array([k for k, n in sums.items() if n], np.int64)
         yield {"context": keys // SYMBOLS, "symbol": keys % SYMBOLS, "n": [n for n in sums.values() if n]}
 
-    rows = arrow_flow(state.where("t > 0").select("word", "t"), flow, "context long, symbol long, n long")
+    rows = arrow_flow(state.select("size", "room", "words", "t"), flow, "context long, symbol long, n long")
     return rows.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
 
 
-def _sweep(state: DataFrame, model: Speller, customers: int, total: int, sweep: int, counts: bool) -> DataFrame:
-    """New tables of each word without context, and its predictive probability `now`, which joins `p` if the sweep `counts`;
-    `rooms` gets the tables of the sweep before, if that one did."""
+def _sweep(state: DataFrame, shares: DataFrame, model: Speller | None, customers: int, total: int, sweep: int, counts: bool) -> DataFrame:
+    """The words with the tables `opened` in their restaurants and, given a model, with new tables without context, the sums
+    (`total`, `mass`) of these and of their spelled chances, and an answer to each packet of shares: the opened tables and
+    predictive probabilities `now` of its words.
 
-    def flow(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        shared = model
-        for k, batch in enumerate(gathered(batches)):
-            c, before = batch.column("customers").to_numpy(), batch.column("t").to_numpy()
-            spelled = np.exp(np.maximum(shared.log_probability(batch.column("word").to_pylist()), -600))
-            rng = np.random.default_rng([sweep, TaskContext.get().partitionId(), k])
-            t = seat(c, total - before, spelled, WORD_STRENGTH, rng)
-            fresh = (WORD_STRENGTH + DISCOUNT * (total - before + t)) * spelled
-            now = np.maximum((c - DISCOUNT * t + fresh) / (WORD_STRENGTH + customers), 1e-300)
-            kept = {n: batch.column(n).combine_chunks() for n in ("id", "word", "c", "p", "rooms", "opened")}
-            yield kept | {"t": t, "now": now, "spelled": spelled}
-
-    columns = "id long, word binary, c long, p array<float>, rooms array<long>, opened long"
-    rooms = F.when(F.size("p") > 0, F.concat("rooms", F.array("opened"))).otherwise(F.col("rooms"))
-    source = state.select("id", "word", "c", "p", rooms.alias("rooms"), "opened", "customers", "t")
-    found = arrow_flow(source, flow, f"{columns}, t long, now double, spelled double")
-    return found.withColumn("p", F.concat("p", F.array(F.col("now").cast("float")))) if counts else found
-
-
-def _seat_pairs(pairs: DataFrame, sweep: int, counts: bool) -> DataFrame:
+    Every training token of a word comes after one word and before one, so the tables that it opens, and those that serve it,
+    are the word's tokens less those of its pairs that share a table with others. If the sweep `counts`, `now` joins `p`; `rooms`
+    gets the tables of the sweep before, if that one did.
+    """
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        for row in left.to_pylist():
+            n = row["size"]
+            ids, c = restored(row["ids"], n, np.int64), restored(row["c"], n, np.int64)
+            before = restored(row["t"], n, np.int64) if row["t"] else np.ones(n, np.int64)
+            asked = [(r["part"], r["size"], np.searchsorted(ids, restored(r["ids"], r["size"], np.int64)), r) for r in right.sort_by("part").to_pylist()]
+            opened, served = c.copy(), c.copy()
+            for _, size, at, r in asked:
+                opened[at] -= restored(r["as_room"], size, np.int64)
+                served[at] -= restored(r["as_dish"], size, np.int64)
+            p = restored(row["p"], row["draws"] * n, np.float32).reshape(n, -1) if row["p"] else np.empty((n, 0), np.float32)
+            rooms = restored(row["rooms"], (row["draws"] - 1) * n, np.int64).reshape(n, -1) if row["rooms"] else np.empty((n, 0), np.int64)
+            if p.shape[1]:
+                rooms = np.c_[rooms, opened]
+            made = {"home": row["home"], "size": n, "room": row["room"], "words": row["words"], "ids": row["ids"], "c": row["c"]}
+            if model is not None:
+                spelled = np.exp(np.maximum(model.log_probability(words_of(row)), -600))
+                t = seat(served, total - before, spelled, WORD_STRENGTH, np.random.default_rng([sweep, row["home"], 0]))
+                fresh = (WORD_STRENGTH + DISCOUNT * (total - before + t)) * spelled
+                now = np.maximum((served - DISCOUNT * t + fresh) / (WORD_STRENGTH + customers), 1e-300)
+                p = np.c_[p, now.astype(np.float32)] if counts else p
+                made |= {"t": squeezed(t), "total": int(t.sum()), "mass": float(spelled.sum())}
+                out += [{"part": part, "home": row["home"], "size": size, "opened": squeezed(opened[at]), "now": squeezed(now[at])} for part, size, at, _ in asked]
+            made |= {"draws": p.shape[1], "p": squeezed(p.ravel()) if p.size else None, "rooms": squeezed(rooms.ravel()) if rooms.size else None}
+            out.append(made)
+        return pa.Table.from_pylist(out, schema=arrow)
+
+    schema = f"{WORDS}, t binary, p binary, rooms binary, draws int, total long, mass double, part int, opened binary, now binary"
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
+    draws = F.col("draws") if "draws" in state.columns else F.lit(0).alias("draws")
+    source = state.select("home", "size", "room", "words", "ids", "c", "t", "p", "rooms", draws)
+    return source.groupBy("home").cogroup(shares.groupBy("home")).applyInArrow(run, schema)
+
+
+def _seat_pairs(pairs: DataFrame, answers: DataFrame, sweep: int, counts: bool) -> DataFrame:
     """New tables of each pair in the restaurant of its first word, which join the sum if the sweep `counts`."""
 
-    def flow(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for k, batch in enumerate(gathered(batches)):
-            before = batch.column("t").to_numpy()
-            rng = np.random.default_rng([1 + sweep, 1 << 32, TaskContext.get().partitionId(), k])
-            t = seat(batch.column("c").to_numpy(), batch.column("opened").to_numpy() - before, batch.column("now").to_numpy(), CONTEXT_STRENGTH, rng)
-            kept = {n: batch.column(n).combine_chunks() for n in ("part", "place", "u", "w", "c")}
-            yield kept | {"t": t, "sum": batch.column("sum").to_numpy() + counts * t}
-
-    return arrow_flow(pairs, flow, "part int, place int, u long, w long, c long, t long, sum long")
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out, told = [], right.sort_by("home")
+        for pair in left.to_pylist():
+            _, first, second = distinct_words(pair)
+            opened, now = all_restored(told, "opened", np.int64)[first], all_restored(told, "now", float)[second]
+            c = restored(pair["c"], pair["size"], np.int64)
+            before = restored(pair["t"], pair["size"], np.int64) if pair["t"] else np.ones(len(c), np.int64)
+            t = seat(c, opened - before, now, CONTEXT_STRENGTH, np.random.default_rng([1 + sweep, 1 << 32, pair["part"], 0]))
+            so_far = restored(pair["sum"], pair["size"], np.int64) if pair["sum"] else 0
+            out.append(pair | {"t": squeezed(t), "sum": squeezed(so_far + counts * t), "shared": int((c - t).sum())})
+        return pa.Table.from_pylist(out, schema=arrow)
+
+    schema = f"{PAIRS}, t binary, sum binary, shared long"
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
+    return pairs.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(run, schema)
