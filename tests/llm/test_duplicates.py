@@ -146,6 +146,16 @@ def test_links_are_all_close_pairs(spark):
     assert got == want and len(want) > 50
 
 
+def test_copies_are_not_broadcast(spark):
+    """A fingerprint has some 60 copies, which the estimate of their size does not count."""
+    fps = spark.range(100).select(F.xxhash64("id").alias("fp"))
+    assert simhash._placed(fps, 2).count() > 40 * fps.count()
+    found = simhash.links(fps, 2)
+    assert found.collect() == []
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_hot_keys_do_not_pass_the_shuffle(spark):
     """A third of the rows have one key, 3,000 keys have one row each; every row is found, hot ones by broadcast."""
     left = spark.range(6_000).select(F.when(F.col("id") < 2_000, 0).when(F.col("id") < 3_000, 1 + F.col("id") % 5).otherwise(F.col("id")).alias("k"), "id")

@@ -121,11 +121,14 @@ def links(fps: DataFrame, max_bits: int) -> DataFrame:
 
     The anchor of the join is the smaller one's home. A fingerprint has a bounded number of neighbours within the
     distance, so the pairs stay in proportion to distinct fingerprints, however many documents share one.
+
+    Spark takes the copies for as many rows as there are fingerprints (they are some 60 times as many) and would broadcast
+    them, so both sides are shuffled whatever their estimate.
     """
     homes = _placed(fps, 0).withColumnRenamed("fp", "a")
     copies = _placed(fps, max_bits).withColumnRenamed("fp", "b")
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
-    return homes.join(copies, "anchor").where((F.col("a") < F.col("b")) & close).select("a", "b")
+    return homes.join(copies.hint("merge"), "anchor").where((F.col("a") < F.col("b")) & close).select("a", "b")
 
 
 def _grouped(df: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int) -> DataFrame:
