@@ -156,6 +156,21 @@ def test_copies_are_not_broadcast(spark):
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
+def test_block_names_are_not_broadcast(spark, monkeypatch):
+    """Every text has blocks of its own and pairs of their names, so what names them grows as the texts do."""
+    plans, write = [], exact_dedup.cut
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(exact_dedup, "cut", seen)
+    texts = spark.range(40).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.col("id").cast("string"), F.lit(" ")), 1_500).alias("text"))
+    assert exact_dedup.exact_dedup(texts).where("kept and group_size = 1").count() == 40
+    joins = [p for p in plans if "Join" in p]
+    assert len(joins) > 3 and not any("Broadcast" in p for p in joins)
+
+
 def test_hot_keys_do_not_pass_the_shuffle(spark):
     """A third of the rows have one key, 3,000 keys have one row each; every row is found, hot ones by broadcast."""
     left = spark.range(6_000).select(F.when(F.col("id") < 2_000, 0).when(F.col("id") < 3_000, 1 + F.col("id") % 5).otherwise(F.col("id")).alias("k"), "id")

@@ -65,7 +65,8 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     names = cut(_block_names(texts.select("bytes"), hash_mask))
     collided = not names.where("block is not null").isEmpty()
 
-    # The hash finds a block's name unless different blocks share it; only then the bytes are compared as well.
+    # The hash finds a block's name unless different blocks share it; only then the bytes are compared as well. Names grow with
+    # the texts, while Spark sizes them by a share of a compressed file, several times too low: they are never broadcast.
     columns = [F.transform(_positions(), lambda i: _hash(_block(i), hash_mask)).alias("hashes")]
     if collided:
         columns.append(F.transform(_positions(), _block).alias("blocks"))
@@ -74,9 +75,9 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     if collided:
         parts = rows.select("row", size, F.posexplode(F.arrays_zip("hashes", "blocks")).alias("i", "part"))
         parts = parts.select("row", "n", "i", F.col("part.hashes").alias("hash"), F.col("part.blocks").alias("own"))
-        named = parts.join(names, "hash").where("block is null or block = own")
+        named = parts.join(names.hint("merge"), "hash").where("block is null or block = own")
     else:
-        named = rows.select("row", size, F.posexplode("hashes").alias("i", "hash")).join(names, "hash")
+        named = rows.select("row", size, F.posexplode("hashes").alias("i", "hash")).join(names.hint("merge"), "hash")
     level, current = 0, cut(named.select("row", "n", "i", "name"))
 
     done = []
@@ -90,13 +91,13 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
             F.coalesce(F.max(F.when(F.col("i") % 2 == 1, F.col("name"))), F.lit(-1)).alias("b"),
         )
         pair_names = _named(pairs.select("a", "b").distinct(), "a", "b")
-        current = cut(pairs.join(pair_names, ["a", "b"]).select("row", "n", "i", "name"))
+        current = cut(pairs.join(pair_names.hint("merge"), ["a", "b"]).select("row", "n", "i", "name"))
         level += 1
 
     identity = done[0]
     for other in done[1:]:
         identity = identity.unionByName(other)
-    members = cut(rows.select("row", "id", "sha").join(identity, "row"))
+    members = cut(rows.select("row", "id", "sha").join(identity.hint("merge"), "row"))
     groups = members.groupBy("level", "name").agg(
         F.max(F.struct("id", "row")).alias("best"), F.count(F.lit(1)).alias("group_size")
     )

@@ -341,7 +341,8 @@ def fit(rows: DataFrame, labels: DataFrame | None = None) -> Model:
     texts = rows.where("id is not null").select(F.col("id").cast(kind).alias("id"), hashed, F.col("lang").cast("string").alias("lang"), text_bytes(rows, "text").alias("text"))
     known = known.select(F.col("id").cast(kind).alias("id"), "toxic")
     # Ids alone are met first: they tell how many shards there are, and which texts need to pass the shuffle.
-    met = cut(texts.select("id", "h").join(known, "id").select("h", "toxic"))
+    # Labels grow with the texts and are small only as a compressed file, so they are not broadcast.
+    met = cut(texts.select("id", "h").join(known.hint("merge"), "id").select("h", "toxic"))
     body = F.pmod("h", F.lit(5)) < 4
     counted = {(r["toxic"], r["body"]): r["n"] for r in met.groupBy("toxic", body.alias("body")).agg(F.count(F.lit(1)).alias("n")).collect()}
     one, zero = (counted.get((label, True), 0) + counted.get((label, False), 0) for label in (1, 0))
