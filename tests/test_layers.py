@@ -1,5 +1,7 @@
 import datetime as dt
+import time
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,6 +33,28 @@ def test_only_the_day_is_listed(spark, tmp_path):
     assert files and all(f"run_date={DAY}" in f for f in files)
 
 
+def test_days_and_parts_are_stored_small(spark, tmp_path):
+    rows = spark.range(50).select(F.col("id").cast("string").alias("code"), F.lit("a text").alias("t"))
+    layers.write_layer(rows, str(tmp_path), "t", DAY)
+    snapshots.append(spark, str(tmp_path), "w", DAY, rows, "code", bucket_rows=20)
+    files = [pq.ParquetFile(f).metadata for f in tmp_path.rglob("*.parquet")]
+    columns = [m.row_group(g).column(c) for m in files for g in range(m.num_row_groups) for c in range(m.num_columns)]
+    assert len(files) > 2 and {c.compression for c in columns} == {"ZSTD"}
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    """And a frame that is collected again makes them again."""
+    blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    stored = lambda: {b for b in blocks.getAllBlocks().mkString(",").split(",") if b.startswith("shuffle_")}
+    before = stored()
+    df = spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count().orderBy("k")
+    first, until = df.collect(), time.time() + 20
+    while stored() - before and time.time() < until:
+        time.sleep(0.1)
+    assert stored() <= before
+    assert df.collect() == first and len(first) == 100
+
+
 def test_quarantine_keeps_text_and_schema(spark, tmp_path):
     df = spark.createDataFrame([("Đức", 1, "thiếu mã")], "a string, b int, error_reason string")
     layers.write_quarantine(df, str(tmp_path), "bad", DAY)
